@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scrivena.llm import fm_index, suffix_sort
+from scrivena.llm import fm_index, packing, piece_codec, quality, suffix_sort, toxicity
 from scrivena.llm._common import read
 
 
@@ -17,15 +17,41 @@ def op2_fm_index_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op3_quality_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality scores of all documents."""
+    return quality.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")).drop("tk")
+
+
+def op4_counterfactual_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity scores of all documents."""
+    return toxicity.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")).drop("tk")
+
+
+def op5_histogram_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of 2048 tokens."""
+    return packing.pack(read(spark, sf_dir, "documents"))
+
+
 def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes of 400-byte strings that start anywhere else are removed."""
     out = suffix_sort.drop_repeated_strings(read(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op10_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents encoded to piece ids and decoded again."""
+    out = piece_codec.decode(piece_codec.encode(read(spark, sf_dir, "documents"), form="text"))
+    digest = lambda c: F.sha2(F.col(c).cast("binary"), 256)
+    return out.select("doc_id", "n_tokens", digest("id_text").alias("ids_sha256"), digest("decoded").alias("decoded_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_fm_index_dedup": op2_fm_index_dedup,
+    "op3_quality_embeddings": op3_quality_embeddings,
+    "op4_counterfactual_toxicity": op4_counterfactual_toxicity,
+    "op5_histogram_packing": op5_histogram_packing,
     "op8_suffix_array_dedup": op8_suffix_array_dedup,
+    "op10_piece_codec": op10_piece_codec,
 }
 
 ORACLE_SQL: dict[str, str] = {}
