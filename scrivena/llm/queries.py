@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scrivena.llm import fm_index, packing, piece_codec, quality, suffix_sort, toxicity
+from scrivena.llm import fm_index, ngram_join, packing, piece_codec, quality, suffix_sort, toxicity
 from scrivena.llm._common import read
 
 
@@ -32,6 +32,11 @@ def op5_histogram_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"))
 
 
+def op6_token_combination_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose sets of 3-word n-grams have a Jaccard similarity of 0.9 or more."""
+    return ngram_join.join(read(spark, sf_dir, "documents"), 3, 90, 100).drop("tk")
+
+
 def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes of 400-byte strings that start anywhere else are removed."""
     out = suffix_sort.drop_repeated_strings(read(spark, sf_dir, "documents"))
@@ -50,6 +55,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_quality_embeddings": op3_quality_embeddings,
     "op4_counterfactual_toxicity": op4_counterfactual_toxicity,
     "op5_histogram_packing": op5_histogram_packing,
+    "op6_token_combination_join": op6_token_combination_join,
     "op8_suffix_array_dedup": op8_suffix_array_dedup,
     "op10_piece_codec": op10_piece_codec,
 }
