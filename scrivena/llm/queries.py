@@ -7,10 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scrivena.llm import fm_index, ngram_join, packing, piece_codec, quality, suffix_sort, toxicity
+from scrivena.llm import embedding_dedup, fm_index, imatch, ngram_join, packing, piece_codec, quality, revisit, suffix_sort, toxicity
 from scrivena.llm._common import read
 
 
+def op1_revisit_resolution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The revisits among the captures of all pages, resolved."""
+    out = revisit.resolve(revisit.captures(read(spark, sf_dir, "pages")))
+    lines = F.transform(F.map_entries("headers"), lambda e: F.concat(e["key"], F.lit(": "), e["value"]))
+    return out.select("record_id", "canonical_url", "ts", "status", "response_id", F.array_join(F.array_sort(lines), "\n").alias("headers"), F.md5("payload").alias("payload_md5"))
+
+
 def op2_fm_index_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of 50-word windows that also start in a document with a smaller doc_id are removed."""
     out = fm_index.drop_repeated_passages(read(spark, sf_dir, "documents"))
@@ -37,12 +44,23 @@ def op6_token_combination_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.join(read(spark, sf_dir, "documents"), 3, 90, 100).drop("tk")
 
 
+def op7_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all documents and of their edited texts."""
+    out = imatch.edited(read(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_chars", F.sha2(F.col("edited_text").cast("binary"), 256).alias("edited_sha256"), "fingerprint", "edited_fingerprint", "near_edited", "near_next")
+
+
 def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes of 400-byte strings that start anywhere else are removed."""
     out = suffix_sort.drop_repeated_strings(read(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links, components and representatives of all vectors."""
+    return embedding_dedup.near_duplicates(read(spark, sf_dir, "embeddings"))
+
+
 def op10_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents encoded to piece ids and decoded again."""
     out = piece_codec.decode(piece_codec.encode(read(spark, sf_dir, "documents"), form="text"))
@@ -51,12 +69,15 @@ def op10_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_revisit_resolution": op1_revisit_resolution,
     "op2_fm_index_dedup": op2_fm_index_dedup,
     "op3_quality_embeddings": op3_quality_embeddings,
     "op4_counterfactual_toxicity": op4_counterfactual_toxicity,
     "op5_histogram_packing": op5_histogram_packing,
     "op6_token_combination_join": op6_token_combination_join,
+    "op7_imatch": op7_imatch,
     "op8_suffix_array_dedup": op8_suffix_array_dedup,
+    "op9_embedding_dedup": op9_embedding_dedup,
     "op10_piece_codec": op10_piece_codec,
 }
 
