@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from scrivena.llm import windows
 from scrivena.llm._common import chunks, covered, documents, raw, scratch, spans_of
 
-SPAN, GRAM = 50, 16
+SPAN, GRAM, BLOCK = 50, 16, 6
 
 
 class BitVector:
@@ -207,9 +207,8 @@ def repeated_words(docs: DataFrame, span: int = SPAN, gram: int = GRAM) -> DataF
     plain = runs.where("not mixed and low_doc < doc_id").select("doc_id", "tk", F.col("first").alias("a"), (F.col("last") + span).alias("b"))
     mixed = runs.where("mixed").drop("low_doc", "mixed")
     data = scratch(windows.contents(docs, mixed, word_hashes, span), "stretches")
-    solved = windows.by_anchor(data).mapInArrow(_solve(span, 1 << 21), "anchor long, ctx long, o0 int, o1 int, seen long")
-    single = windows.single_windows(data, span, 8).select("anchor", "ctx", F.col("o").alias("o0"), (F.col("o") + 1).alias("o1"), F.col("low_doc").alias("seen"))
-    split = mixed.join(solved.unionByName(single), ["anchor", "ctx"]).where("seen < doc_id")
+    solved = windows.decide(data, span, 8, BLOCK, _solve(span, 1 << 21))
+    split = mixed.join(solved, ["anchor", "ctx"]).where("seen < doc_id")
     split = split.select("doc_id", "tk", (F.col("first") + F.col("o0")).alias("a"), (F.col("first") + F.col("o1") - 1 + span).alias("b"))
     return windows.intervals(plain.unionByName(split))
 

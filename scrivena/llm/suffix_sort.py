@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from scrivena.llm import windows
 from scrivena.llm._common import chunks, covered, documents, raw, scratch, spans_of
 
-SPAN, GRAM = 400, 128
+SPAN, GRAM, BLOCK = 400, 128, 48
 
 
 class HashedText:
@@ -167,9 +167,9 @@ def _solve(span: int, shard_bytes: int):
         for shard in windows.shards(batches, shard_bytes):
             anchor, ctx, n, _, off, data = zip(*shard)
             found = repeated_starts(list(data), np.array(off), np.array(n), np.array(anchor), span)
-            rows = [(anchor[i], ctx[i], a, b) for i, w in enumerate(found) for a, b in zip(*(x.tolist() for x in spans_of(w)))]
+            rows = [(anchor[i], ctx[i], a, b, 0) for i, w in enumerate(found) for a, b in zip(*(x.tolist() for x in spans_of(w)))]
             if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int64(), pa.int32(), pa.int32()))], names=["anchor", "ctx", "o0", "o1"])
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64()))], names=["anchor", "ctx", "o0", "o1", "seen"])
 
     return run
 
@@ -188,9 +188,8 @@ def repeated_bytes(docs: DataFrame, span: int = SPAN, gram: int = GRAM) -> DataF
     plain = runs.where("not mixed").select("doc_id", "tk", F.col("first").alias("a"), (F.col("last") + span).alias("b"))
     mixed = runs.where("mixed").drop("low_doc", "mixed")
     data = scratch(windows.contents(docs, mixed, symbols, span), "stretches")
-    solved = windows.by_anchor(data).mapInArrow(_solve(span, 1 << 19), "anchor long, ctx long, o0 int, o1 int")
-    single = windows.single_windows(data, span, 1).select("anchor", "ctx", F.col("o").alias("o0"), (F.col("o") + 1).alias("o1"))
-    split = mixed.join(solved.unionByName(single), ["anchor", "ctx"])
+    solved = windows.decide(data, span, 1, BLOCK, _solve(span, 1 << 19))
+    split = mixed.join(solved, ["anchor", "ctx"])
     split = split.select("doc_id", "tk", (F.col("first") + F.col("o0")).alias("a"), (F.col("first") + F.col("o1") - 1 + span).alias("b"))
     return windows.intervals(plain.unionByName(split))
 

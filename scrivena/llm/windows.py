@@ -10,8 +10,8 @@ Neighbouring windows with the same anchor form a run. All runs are shuffled as a
 3. `contents` fetches the symbols of one run for each distinct content of a mixed anchor.
 
 The operators then compare the contents of each anchor by the index that they are named after. Anchors with more than
-`GROUP` distinct contents don't go to one task: `single_windows` deals their windows out one by one, with partial
-aggregation, which decides them exactly and at any skew.
+`GROUP` distinct contents don't go to one task: `decide` cuts their contents into shorter stretches, groups these by what
+they have in common, and deals out one by one only the windows of groups that are still too large, with partial sums.
 """
 
 from __future__ import annotations
@@ -134,7 +134,7 @@ def contents(docs: DataFrame, mixed: DataFrame, symbols: Callable, span: int) ->
         F.min(F.struct("doc_id", "tk", "first", "last", "at")).alias("r"),
     )
     per = scratch(per, "contents")
-    sizes = per.groupBy("anchor").agg(F.count("*").alias("group"))
+    sizes = scratch(per.groupBy("anchor").agg(F.count("*").alias("group")), "sizes")  # written, so that the join can split an anchor
     per = per.join(sizes, "anchor").select("anchor", "ctx", "n", "low_doc", "group", "r.*")
     wanted = per.groupBy("doc_id", "tk").agg(F.collect_list(F.struct("anchor", "ctx", "n", "low_doc", "group", "first", "last", "at")).alias("runs"))
     # Where rows are repeated, one row for each content is enough.
@@ -177,9 +177,8 @@ def shards(batches: Iterator[pa.RecordBatch], max_bytes: int) -> Iterator[dict]:
         yield held
 
 
-def single_windows(data: DataFrame, span: int, itemsize: int) -> DataFrame:
-    """For anchors with more contents than a task compares: one row a window, anchor, ctx, o, n, low_doc; n and low_doc
-    are those of all the anchor's windows with the same symbols."""
+def _single_windows(data: DataFrame, span: int, itemsize: int) -> DataFrame:
+    """One row a window: anchor, ctx, o0, o1, seen, for windows that several contents or runs of the anchor have."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         digest, size = xxhash.xxh3_128_digest, span * itemsize
@@ -192,9 +191,55 @@ def single_windows(data: DataFrame, span: int, itemsize: int) -> DataFrame:
                     names=["anchor", "ctx", "n", "low_doc", "o", "w"],
                 )
 
-    one = data.where(F.col("group") > GROUP).mapInArrow(run, "anchor long, ctx long, n long, low_doc long, o int, w binary")
-    total = one.groupBy("w").agg(F.sum("n").alias("n"), F.min("low_doc").alias("low_doc"))
-    return one.select("anchor", "ctx", "o", "w").join(total.where("n > 1"), "w").select("anchor", "ctx", "o", "n", "low_doc")
+    one = data.mapInArrow(run, "anchor long, ctx long, n long, low_doc long, o int, w binary")
+    total = one.groupBy("w").agg(F.sum("n").alias("n"), F.min("low_doc").alias("seen"))
+    return one.select("anchor", "ctx", "o", "w").join(total.where("n > 1"), "w").select("anchor", "ctx", F.col("o").alias("o0"), (F.col("o") + 1).alias("o1"), "seen")
+
+
+def _split(span: int, itemsize: int, block: int):
+    """Contents cut into stretches of at most `block` windows, at fixed distances from the anchor. The symbols that all
+    windows of a block have in common become the stretch's anchor."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        digest = xxhash.xxh3_64_intdigest
+        for batch in batches:
+            out = []
+            for anchor, ctx, n, low, off, data in zip(*(batch.column(c).to_pylist() for c in ("anchor", "ctx", "n", "low_doc", "off", "data"))):
+                view, last = memoryview(data), len(data) // itemsize - span
+                for b in range((off - last) // block, off // block + 1):
+                    j0, j1 = max(0, off - b * block - block + 1), min(last, off - b * block)
+                    if j0 > j1:
+                        continue
+                    core = view[(off - b * block) * itemsize : (off - b * block - block + 1 + span) * itemsize]
+                    part = data[j0 * itemsize : (j1 + span) * itemsize]
+                    out.append((anchor, ctx, j0, np.uint64(digest(core, seed=b)).view(np.int64) ^ anchor, np.uint64(digest(part)).view(np.int64), n, low, off - j0, part))
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.int64(), pa.int32(), *[pa.int64()] * 4, pa.int32(), pa.binary()))], names=["anchor1", "ctx1", "j0", "anchor", "ctx", "n", "low_doc", "off", "data"])
+
+    return run
+
+
+def decide(data: DataFrame, span: int, itemsize: int, block: int, solve: Callable) -> DataFrame:
+    """anchor, ctx, o0, o1, seen: windows [o0, o1) of a run with that content also start elsewhere; seen is the least
+    doc_id in which they do (whatever solve says it is). solve maps batches of CONTENTS, sorted by anchor, to such rows.
+
+    Anchors of up to GROUP contents go to a task each. The others' contents are cut into short stretches, which agree in
+    all but a few symbols if they have anything in common, and are grouped again; what is still too many after that is
+    compared window by window.
+    """
+    schema = "anchor long, ctx long, o0 int, o1 int, seen long"
+    out = by_anchor(data).mapInArrow(solve, schema)
+    hot = data.where(F.col("group") > GROUP)
+    cut = scratch(hot.mapInArrow(_split(span, itemsize, block), "anchor1 long, ctx1 long, j0 int, anchor long, ctx long, n long, low_doc long, off int, data binary"), "stretches")
+    per = cut.groupBy("anchor", "ctx").agg(F.sum("n").alias("n"), F.min("low_doc").alias("low_doc"), F.first("off").alias("off"), F.first("data").alias("data"))
+    per = scratch(per, "contents")
+    sizes = scratch(per.groupBy("anchor").agg(F.count("*").alias("group")), "sizes")
+    per = per.join(sizes, "anchor")
+    alone = per.where("group = 1 and n > 1").select("anchor", "ctx", F.lit(0).alias("o0"), (F.length("data") / itemsize - span + 1).cast("int").alias("o1"), F.col("low_doc").alias("seen"))
+    few = by_anchor(per.where("group > 1")).mapInArrow(solve, schema)
+    many = _single_windows(per.where(F.col("group") > GROUP), span, itemsize)
+    found = cut.select("anchor1", "ctx1", "j0", "anchor", "ctx").join(alone.unionByName(few).unionByName(many), ["anchor", "ctx"])
+    return out.unionByName(found.select(F.col("anchor1").alias("anchor"), F.col("ctx1").alias("ctx"), (F.col("o0") + F.col("j0")).alias("o0"), (F.col("o1") + F.col("j0")).alias("o1"), "seen"))
 
 
 def intervals(found: DataFrame) -> DataFrame:
