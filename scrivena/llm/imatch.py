@@ -25,6 +25,8 @@ from scrivena.llm._common import documents
 SLOTS, LEVELS = 64, 3
 #: Terms in more than this share of documents are below the band of inverse document frequency.
 MOST = 0.02
+#: In small tables a term is above the band only if so many documents hold it.
+LEAST = 16
 #: Ranges of ids in which documents are put in order.
 RANGES = 512
 
@@ -39,7 +41,7 @@ def stop_terms(docs: DataFrame, most: float = MOST) -> list[int]:
     """Hashes of the terms above the band: at most (mean distinct terms) / most of them."""
     n = docs.count()
     terms = docs.select(F.explode(term_hashes(F.col("text"))).alias("t")).groupBy("t").count()
-    return sorted(r[0] for r in terms.where(F.col("count") > max(most * n, 2)).select("t").collect())
+    return sorted(r[0] for r in terms.where(F.col("count") > max(most * n, LEAST)).select("t").collect())
 
 
 def fingerprint(text: Column, stop: list[int]) -> Column:
