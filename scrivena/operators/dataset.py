@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from scrivena.functions import text as t
 from scrivena.functions.scalars import safe_div
+from scrivena.operators.ranks import cuts_of, range_of
 
 #: Samples per format and industry that a collection asks for.
 FORMAT_TARGETS = {"paper": 200, "scan": 100, "screen": 150, "excel": 100, "handwrite": 50}
@@ -102,16 +103,8 @@ def positional_split(items: DataFrame, order: str, train: float = 0.8, val: floa
 
     Positions come from counts of ranges of the order column, not from one sort of all rows in a task.
     """
-    ranges = 256
-    cuts = items.select(F.percentile_approx(F.col(order).cast("double"), [i / ranges for i in range(1, ranges)], 10000)).first()[0] or []
-    cuts = sorted(set(cuts))
-
-    def tree(lo: int, hi: int) -> Column:
-        mid = (lo + hi) // 2
-        return F.lit(lo) if lo == hi else F.when(F.col(order).cast("double") <= cuts[mid], tree(lo, mid)).otherwise(tree(mid + 1, hi))
-
-    rows = items.withColumn("_r", tree(0, len(cuts)))
-    counts = rows.groupBy("_r").agg(F.count("*").alias("_c"))  # `ranges` rows at most
+    rows = items.withColumn("_r", range_of(F.col(order).cast("double"), cuts_of(items, order)))
+    counts = rows.groupBy("_r").agg(F.count("*").alias("_c"))  # as many rows as there are ranges, at most
     before = Window.partitionBy(F.lit(0)).orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)
     counts = counts.select("_r", F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_b"), F.sum("_c").over(Window.partitionBy(F.lit(0))).alias("_n"))
     rows = rows.join(F.broadcast(counts), "_r")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -9,13 +11,18 @@ RANGES = 256
 
 
 def range_of(column: Column, cuts: list) -> Column:
-    """How many cuts lie below the value, by a tree of comparisons."""
-
-    def tree(lo: int, hi: int) -> Column:
-        mid = (lo + hi) // 2
-        return F.lit(lo) if lo == hi else F.when(column <= cuts[mid], tree(lo, mid)).otherwise(tree(mid + 1, hi))
-
-    return tree(0, len(cuts))
+    """How many of the sorted cuts lie below the value: a look at every k-th cut, then at those between two of them.
+
+    Literal arrays keep the generated code small, however many cuts there are.
+    """
+    if not cuts:
+        return F.lit(0)
+    k = math.isqrt(len(cuts))
+    groups = [cuts[i : i + k] for i in range(0, len(cuts), k)]
+    below = lambda values: F.size(F.filter(values, lambda c: c < column))
+    full = below(F.lit([x[-1] for x in groups]))
+    rest = F.when(full < len(groups), below(F.get(F.lit([x + [x[-1]] * (k - len(x)) for x in groups]), full))).otherwise(0)
+    return full * k + rest
 
 
 def cuts_of(rows: DataFrame, order: str, ranges: int = RANGES) -> list:
