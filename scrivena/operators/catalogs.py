@@ -6,13 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 #: Fixed values.
 LISTS = {
-    "detection_metrics": ("precision", "recall", "f1", "mean_iou"),
-    "recognition_metrics": ("cer", "wer", "accuracy", "normalized_cer"),
-    "end_to_end_metrics": ("cell_accuracy", "worker_schedule_accuracy", "name_accuracy", "code_distribution_error"),
-    "confidence_fields": ("text", "confidence", "confidence_level", "cell_id", "bbox"),
-    "release_controls": ("versioned_artifacts", "quality_gate", "rollback", "health_check"),
-    "monitoring_targets": ("loss_total", "grad_norm", "lr", "val_primary_metric"),
-    "inference_files": ("inference.pdmodel", "inference.pdiparams", "model_info.json"),
+    "detection_metrics": ("precision", "recall", "f1", "iou", "tp", "fp", "fn"),
+    "recognition_metrics": ("cer", "wer", "accuracy", "normalized_cer", "work_code_accuracy", "date_exact_match"),
+    "end_to_end_metrics": ("cell_accuracy", "worker_schedule_accuracy", "name_accuracy", "code_distribution_error", "parse_success_rate"),
+    "confidence_fields": ("confidence", "confidence_level", "cell_id", "summary", "feedback"),
+    "release_controls": ("model_registry", "active_version", "deployment_log", "rollback_policy", "version_api"),
+    "monitoring_targets": ("wandb", "local_csv_logs", "checkpoint_manager", "health_checks", "prediction_visualizations", "completion_notifications"),
     "formats": ("paper", "scan", "screen", "excel", "handwrite"),
     "industries": ("hospital", "convenience", "factory", "office", "food", "etc"),
     "version_statuses": ("active", "superseded", "deprecated", "rollback_candidate"),

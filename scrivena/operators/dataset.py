@@ -171,6 +171,8 @@ def supplements(counts: DataFrame) -> DataFrame:
     """industry, real_count -> what synthesis should add: 80 renders where there is nothing, 25 and 25 below 50, else up
     to three of each image, 200 at most."""
     n = F.col("real_count")
+    why = F.when(n == 0, "no_real_samples_use_render_only").when(n < 50, "low_real_samples_use_mixed_top_up").otherwise("sufficient_real_samples_aug_only")
+    counts = counts.withColumn("reason", why)
     render = F.when(n == 0, 80).when(n < 50, 25).otherwise(0)
     return counts.withColumn("recommended_render", render.cast("long")).withColumn("recommended_aug", F.when(n == 0, 0).when(n < 50, 25).otherwise(F.least(n * 3, F.lit(200))).cast("long"))
 

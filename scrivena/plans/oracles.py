@@ -259,7 +259,7 @@ _Q["latency_pctl"] = "select event_type, len(v) as n, v[cast(floor((len(v) - 1)
 def _budget() -> str:
     """A fold by hand: one nested query for each augmentation."""
     sql = "select doc_id, 0 as s, '' as applied from documents"
-    for (name, chance, strength), m in zip(AUGMENTATIONS, (3, 5, 7, 11, 13, 17, 19)):
+    for (name, chance, strength), m in zip(AUGMENTATIONS, (3, 5, 7, 11, 13, 17, 19, 23, 29, 31, 37)):
         cost = int(round(strength * 1000))
         take = f"(cast((doc_id * {m}) % 97 as double) / 97.0) * 1000000 <= {int(round(chance * 1_000_000))} and s + {cost} <= 650"
         sql = f"select doc_id, case when {take} then s + {cost} else s end as s, case when {take} then applied || '|{name}' else applied end as applied from ({sql})"

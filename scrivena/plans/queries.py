@@ -240,7 +240,7 @@ def ds_quota_gaps(s, d):
 @query
 def synth_plan(s, d):
     counts = table(s, d, "image_meta").where("image_id < 300").groupBy("industry").agg(F.count("*").alias("real_count"))
-    return dataset.supplements(counts)
+    return dataset.supplements(counts).drop("reason")
 
 
 @query
@@ -468,7 +468,8 @@ def latency_pctl(s, d):
 
 @query
 def aug_budget(s, d):
-    draws = F.array(*(((F.col("doc_id") * m) % 97) / 97.0 for m in (3, 5, 7, 11, 13, 17, 19)))
+    primes = (3, 5, 7, 11, 13, 17, 19, 23, 29, 31, 37)
+    draws = F.array(*(((F.col("doc_id") * m) % 97) / 97.0 for m in primes))
     return table(s, d, "documents").select("doc_id", F.array_join(synthetic.within_budget(draws), "|").alias("applied"))
 
 
