@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from scrivena.llm import embedding_dedup, fm_index, imatch, ngram_join, packing, piece_codec, quality, revisit, suffix_sort, toxicity
 from scrivena.llm._common import read
+from scrivena.llm.oracles import ORACLE_SQL  # noqa: F401
 
 
 def op1_revisit_resolution(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -80,5 +81,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_embedding_dedup": op9_embedding_dedup,
     "op10_piece_codec": op10_piece_codec,
 }
-
-ORACLE_SQL: dict[str, str] = {}
