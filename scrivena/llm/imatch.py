@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from scrivena.llm._common import documents
+from scrivena.operators.ranks import range_of
 
 SLOTS, LEVELS = 64, 3
 #: Terms in more than this share of documents are below the band of inverse document frequency.
@@ -28,7 +29,7 @@ MOST = 0.02
 #: In small tables a term is above the band only if so many documents hold it.
 LEAST = 16
 #: Ranges of ids in which documents are put in order.
-RANGES = 512
+RANGES = 1024
 
 
 def term_hashes(text: Column) -> Column:
@@ -96,18 +97,6 @@ def as_text(f: Column) -> Column:
     return F.when((f[0][0] == 0) & (F.size(f[1]) == 0), "").otherwise(body)
 
 
-def _range(cuts: list[int]) -> Column:
-    """Which range between the cuts doc_id is in, by a tree of comparisons."""
-
-    def tree(lo: int, hi: int) -> Column:
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        return F.when(F.col("doc_id") <= cuts[mid], tree(lo, mid)).otherwise(tree(mid + 1, hi))
-
-    return tree(0, len(cuts)).alias("range")
-
-
 def edited(docs: DataFrame, most: float = MOST) -> DataFrame:
     """Each document's fingerprint, and that of its text with the last half replaced by the start of the next document.
 
@@ -117,8 +106,8 @@ def edited(docs: DataFrame, most: float = MOST) -> DataFrame:
     docs = documents(docs).select("doc_id", "tk", F.coalesce("text", F.lit("")).alias("text"))
     stop = stop_terms(docs, most)
     # Ranges of ids with about as many documents each, so that putting documents in order is spread over tasks.
-    cuts = docs.select(F.percentile_approx("doc_id", [i / RANGES for i in range(1, RANGES)], 20 * RANGES)).first()[0] or []
-    docs = docs.select("*", _range(sorted(set(cuts))))
+    cuts = docs.select(F.percentile_approx("doc_id", [i / RANGES for i in range(1, RANGES)], 10 * RANGES)).first()[0] or []
+    docs = docs.select("*", range_of(F.col("doc_id"), sorted(set(cuts))).alias("range"))
     rows = docs.select("range", "doc_id", "tk", "text", fingerprint(F.col("text"), stop).alias("f"), F.lit(0).alias("extra"))
     # The last document of a range is followed by the first of the next one, which joins it as an extra row.
     heads = docs.groupBy("range").agg(F.max(F.struct("doc_id", "tk")).alias("h"))  # RANGES rows at most

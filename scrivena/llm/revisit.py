@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from scrivena.llm._common import scratch
+from scrivena.operators.ranks import range_of
 
 BLOCKS = 256
 #: Headers that a 304 answer may renew. Fixed values.
@@ -52,17 +53,13 @@ def resolve(records: DataFrame) -> DataFrame:
     """
     rec = records.select("record_id", "kind", canonical_url(F.col("url")).alias("canonical_url"), "ts", F.coalesce("headers", F.create_map().cast("map<string,string>")).alias("headers"), "payload").where("record_id is not null")
     cuts = rec.select(F.percentile_approx(F.col("ts").cast("double"), [i / BLOCKS for i in range(1, BLOCKS)], 20 * BLOCKS)).first()[0] or []
-    t, cuts = F.col("ts").cast("double"), sorted(set(cuts))
-
-    def tree(lo: int, hi: int) -> Column:
-        mid = (lo + hi) // 2
-        return F.lit(lo) if lo == hi else F.when(t <= cuts[mid], tree(lo, mid)).otherwise(tree(mid + 1, hi))
+    block = range_of(F.col("ts").cast("double"), sorted(set(cuts)))
 
     is_response = F.col("kind") == "response"
     placed = rec.where("canonical_url is not null and ts is not null and kind in ('response', 'revisit')")
     # One row for each URL, time and kind, by partial aggregation: which response counts, and which times ask for one.
     times = placed.groupBy("canonical_url", "ts").agg(F.max(F.when(is_response, F.col("record_id"))).alias("response_id"), F.max((~is_response).cast("int")).alias("asks"))
-    times = scratch(times.withColumn("block", tree(0, len(cuts))), "times")
+    times = scratch(times.withColumn("block", block), "times")
     stored = F.when(F.col("response_id").isNotNull(), F.struct("ts", "response_id"))
     inside = Window.partitionBy("canonical_url", "block").orderBy("ts").rowsBetween(Window.unboundedPreceding, -1)
     found = times.withColumn("near", F.last(stored, ignorenulls=True).over(inside))
