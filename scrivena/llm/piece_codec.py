@@ -88,7 +88,8 @@ class PieceModel:
         self.surface = [bytes([int(p[3:5], 16)]) if kinds[i] == 6 else b"" if kinds[i] == 3 else p.replace(MARK, " ").encode() for i, p in enumerate(self.pieces)]
         self.surface[0] = " ⁇ ".encode()
         self.text_id = [str(i).encode() for i in range(n)]
-        self.known: dict[str, tuple] = {}
+        self.text_line, self.text_space = (np.array([t + end for t in self.text_id], object) for end in (b"\n", b" "))
+        self.known: dict[str, bytes] = {}  # ids of words, as decimal text
 
     def _slot(self, key: int) -> int:
         return ((key * 0x9E3779B97F4A7C15) & 0xFFFFFFFFFFFFFFFF) >> (64 - self.bits)
@@ -108,15 +109,14 @@ class PieceModel:
                 break
         return out
 
-    def merge_rounds(self, words: list[str]) -> list[list[int]]:
-        """Symbols of each word after all merges: pieces, and -1 - c for a character c that is no piece."""
-        if not words:
-            return []
+    def merge_rounds(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Symbols of the words after all merges, end to end, and how many each has. A symbol is a piece, or -1 - c for a
+        character c that is no piece."""
         chars = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32)
         values, inverse = np.unique(chars, return_inverse=True)
         sym = np.array([self.ids.get(chr(c), -1 - c) for c in values.tolist()], np.int64)[inverse]
         word, sizes = np.arange(len(words)), np.array([len(w) for w in words], np.int64)
-        out: list = [None] * len(words)
+        done: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []  # words, symbols, sizes
         made = np.full(len(sym), -1, np.int64)
         key = np.full(len(sym), _NONE)
 
@@ -142,9 +142,7 @@ class PieceModel:
                 live = sym != _DEAD
                 left = np.add.reduceat(live, first)
                 mine = np.repeat(is_open, sizes)
-                done, ends = sym[live & ~mine].tolist(), np.cumsum(left[~is_open]).tolist()
-                for w, s, e in zip(word[~is_open].tolist(), [0, *ends], ends):
-                    out[w] = done[s:e]
+                done.append((word[~is_open], sym[live & ~mine], left[~is_open]))
                 sym, word, sizes = sym[live & mine], word[is_open], left[is_open]
                 made, key, first = made[: len(sym)], key[: len(sym)], None
                 continue
@@ -159,7 +157,12 @@ class PieceModel:
             prv = before[at]
             has = prv >= 0
             look(prv[has], at[has])
-        return out
+        word, sym, sizes = (np.concatenate(x) for x in zip(*done))
+        order = np.argsort(word)
+        start = (np.cumsum(sizes) - sizes)[order]
+        sizes = sizes[order]
+        at = np.arange(int(sizes.sum())) + np.repeat(start - (np.cumsum(sizes) - sizes), sizes)
+        return sym[at], sizes
 
     def merge_heap(self, word: str) -> list[int]:
         """The same for one long word."""
@@ -208,19 +211,28 @@ class PieceModel:
             self.known.clear()
         new = [w for w in words if w not in self.known]
         short = [w for w in new if len(w) < LONG]
-        merged = [x for i in range(0, len(short), BLOCK) for x in self.merge_rounds([MARK + w for w in short[i : i + BLOCK]])]
-        long = [w for w in new if len(w) >= LONG]
-        merged += [self.merge_heap(MARK + w) for w in long]
-        for w, syms in zip(short + long, merged):
-            ids = []
-            for s in syms:
-                ids += [s] if s >= 0 else [self.byte[b] for b in chr(-1 - s).encode()]
-            self.known[w] = (b" ".join([self.text_id[i] for i in ids]), len(ids), ids)
+        for i in range(0, len(short), BLOCK):
+            block = short[i : i + BLOCK]
+            sym, sizes = self.merge_rounds([MARK + w for w in block])
+            # One join for all words: a line each, ids apart by spaces; characters that aren't pieces as their bytes.
+            last = np.zeros(len(sym), bool)
+            last[np.cumsum(sizes) - 1] = True
+            odd = np.flatnonzero(sym < 0)
+            parts = np.where(last, self.text_line[np.maximum(sym, 0)], self.text_space[np.maximum(sym, 0)]).tolist()
+            for k in odd.tolist():
+                parts[k] = self._bytes(int(sym[k])) + (b"\n" if last[k] else b" ")
+            self.known.update(zip(block, b"".join(parts).split(b"\n")))
+        for w in new:
+            if len(w) >= LONG:
+                self.known[w] = b" ".join([self.text_id[x] if x >= 0 else self._bytes(x) for x in self.merge_heap(MARK + w)])
+
+    def _bytes(self, symbol: int) -> bytes:
+        return b" ".join([self.text_id[self.byte[b]] for b in chr(-1 - symbol).encode()])
 
     def encode(self, text: str) -> list[int]:
         words = self.split(text)
         self.learn(set(words))
-        return [i for w in words for i in self.known[w][2]] + [self.end]
+        return [int(i) for w in words for i in self.known[w].split()] + [self.end]
 
     def decode(self, ids) -> str:
         out = b"".join([self.surface[i] for i in ids])
@@ -251,11 +263,12 @@ def encode(docs: DataFrame, model: str | None = None, form: str = "ids") -> Data
             m.learn(set().union(*words))
             known = m.known
             ids = part.column("doc_id")
-            n = pa.array([sum([known[w][1] for w in ws]) + 1 for ws in words], pa.int64())
+            out = [b" ".join([*[known[w] for w in ws], end]) for ws in words]
+            n = pa.array([x.count(b" ") + 1 for x in out], pa.int64())
             if form == "text":
-                yield pa.RecordBatch.from_arrays([ids, n, pa.array([b" ".join([*(known[w][0] for w in ws), end]) for ws in words], pa.binary()).cast(pa.string())], names=["doc_id", "n_tokens", "id_text"])
+                yield pa.RecordBatch.from_arrays([ids, n, pa.array(out, pa.binary()).cast(pa.string())], names=["doc_id", "n_tokens", "id_text"])
             else:
-                yield pa.RecordBatch.from_arrays([ids, n, pa.array([[i for w in ws for i in known[w][2]] + [m.end] for ws in words], pa.list_(pa.int32()))], names=["doc_id", "n_tokens", "ids"])
+                yield pa.RecordBatch.from_arrays([ids, n, pa.array([list(map(int, x.split())) for x in out], pa.list_(pa.int32()))], names=["doc_id", "n_tokens", "ids"])
 
     return documents(docs).select("doc_id", "text").mapInArrow(run, "doc_id long, n_tokens long, " + ("id_text string" if form == "text" else "ids array<int>"))
 
