@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from scrivena.llm._common import chunks, documents, raw
 
 #: Most labelled documents that the model is fitted on.
-SAMPLE = 6000
+SAMPLE = 3000
 BUCKETS, DIM, GRAMS = 1 << 16, 8, (3, 4, 5)
 #: Stands once for each word that equals the one before it: what word pairs tell of repetition, as one learned vector.
 AGAIN = b"\x00again"
@@ -115,7 +115,7 @@ class Embeddings:
         return 1 / (1 + np.exp(np.clip(z[:, 0] - z[:, 1], -50, 50).astype(np.float64)))
 
 
-def train(rows: list[tuple[bytes, int]], epochs: int = 4, rate: float = 0.4, dim: int = DIM, buckets: int = BUCKETS, seed: int = 7) -> Embeddings:
+def train(rows: list[tuple[bytes, int]], epochs: int = 6, rate: float = 0.4, dim: int = DIM, buckets: int = BUCKETS, seed: int = 7) -> Embeddings:
     """Stochastic gradient descent over the rows, the step falling to nothing."""
     rng = np.random.default_rng(seed)
     table = rng.uniform(-1 / dim, 1 / dim, (buckets, dim)).astype(np.float32)

@@ -15,9 +15,9 @@ repeated rows are scored each; other columns are ignored.
 from __future__ import annotations
 
 import re
-from collections import Counter, defaultdict
 
 import numpy as np
+import xxhash
 from pyspark.sql import DataFrame
 
 from scrivena.llm._common import documents
@@ -105,28 +105,43 @@ def train(rows: list[tuple[bytes, int]], groups=IDENTITIES, penalty: float = 1.0
     if not rows:
         return Presence({}, 0.0)
     y = np.array([r[1] for r in rows], np.float64)
-    seen: dict[int, Counter] = defaultdict(Counter)
-    docs, pairs = [], []
-    for text, label in rows:
+    # A document's features are kept as 32-bit hashes; only those that are chosen are needed as texts.
+    hashes, pairs = [], []
+    for text, _ in rows:
         t = text.decode("utf-8", "replace")
-        f = terms(set(t.lower().split()))
-        docs.append(f)
-        seen[int(label)].update(f)
+        hashes.append(np.unique(np.fromiter(map(xxhash.xxh32_intdigest, terms(set(t.lower().split()))), np.uint32)))
         pairs += counterfactuals(t, groups)
     n1, n0 = max(y.sum(), 1), max(len(y) - y.sum(), 1)
-    gain = {}
-    for f in set(seen[0]) | set(seen[1]):
-        a, b = seen[1][f], seen[0][f]
-        if a + b >= 3:
-            p = (a + b) / len(y)
-            gain[f] = (a / n1 - b / n0) / np.sqrt(p * (1 - p) * (1 / n1 + 1 / n0) + 1e-9)
-    best = sorted((f for f in gain if gain[f] >= 3), key=lambda f: (-gain[f], f))[:FEATURES]
-    named = {f for g in groups for t in g for f in terms({t})}
+    toxic = [h for h, label in zip(hashes, y) if label]
+    keys, a = np.unique(np.concatenate(toxic), return_counts=True) if toxic else (np.zeros(0, np.uint32), np.zeros(0, np.int64))
+    keys, a = keys[a >= 3], a[a >= 3]
+    b = np.zeros(len(keys), np.int64)
+    for h, label in zip(hashes, y):
+        if not label and len(keys):
+            at = np.minimum(np.searchsorted(keys, h), len(keys) - 1)
+            b[at[keys[at] == h]] += 1
+    p = (a + b) / len(y)
+    gain = (a / n1 - b / n0) / np.sqrt(p * (1 - p) * (1 / n1 + 1 / n0) + 1e-9)
+    best = np.lexsort((keys, -gain))[:FEATURES]
+    chosen = set(keys[best[gain[best] >= 3]].tolist())
     # Identity terms too, where they occur: their weights are what the penalty holds down.
-    number = {f: i for i, f in enumerate(dict.fromkeys([*best, *sorted(named & set(gain))]))}
+    named = {f: xxhash.xxh32_intdigest(f) for g in groups for t in g for f in terms({t})}
+    seen = np.unique(np.concatenate(hashes))
+    number = {f: i for i, f in enumerate(sorted(f for f, h in named.items() if h in chosen or seen[min(np.searchsorted(seen, h), len(seen) - 1)] == h))}
+    wanted = np.array(sorted(chosen), np.uint32)
+    docs: list[list[str]] = []
+    for (text, _), h in zip(rows, hashes):
+        found = []
+        if np.isin(h, wanted).any() or number:
+            for f in sorted(terms(set(text.decode("utf-8", "replace").lower().split()))):
+                if f in number or xxhash.xxh32_intdigest(f) in chosen:
+                    number.setdefault(f, len(number))
+                    found.append(f)
+        docs.append(found)
+    del hashes
     m = len(number)
 
-    def sparse(sets: list[set[str]]) -> tuple[np.ndarray, np.ndarray]:
+    def sparse(sets: list) -> tuple[np.ndarray, np.ndarray]:
         hit = [[number[f] for f in s if f in number] for s in sets]
         return np.repeat(np.arange(len(hit)), [len(h) for h in hit]), np.array([i for h in hit for i in h], np.int64)
 
