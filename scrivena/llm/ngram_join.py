@@ -9,8 +9,8 @@ many as the size band has eighths of tokens, which keeps combinations in proport
 edge of its band signs in both.
 
 Documents with equal sets are one class. Groups of equal signatures are compared around one member first, which is one
-pair a row; only pairs whose classes are then still in different components are compared beyond that. Each pair is
-verified on the whole sets of tokens (64-bit hashes of the n-grams).
+pair a row; beyond that, only pairs are compared whose classes are then still in different components and whose bitmaps
+(parities of hashed tokens) don't already differ in too many bits. Each pair is verified on the whole sets of tokens (64-bit hashes of the n-grams).
 
 Defined results: null or empty texts have no tokens and link with nothing; rows without a doc_id are left out; rows that
 share a doc_id are one document, whose links are pooled; repeated rows give a row each; other columns are ignored.
@@ -32,11 +32,14 @@ from scrivena.llm._common import chunks, documents, raw, scratch
 from scrivena.llm.components import components
 from scrivena.llm.windows import gram_hashes, mix
 
-BUCKETS = 1 << 18
+BUCKETS = 1 << 21
 #: Tokens whose bucket holds so many times the mean count are taken in pairs, and in triples.
 PAIRS, TRIPLES = 3.0, 30.0
 #: Documents of fewer tokens sign with single tokens only.
 SMALL = 64
+#: 64-bit words of a set's bitmap.
+WORDS = 8
+BITS = [f"b{i}" for i in range(WORDS)]
 
 
 def token_sets(texts: list[bytes], n: int) -> list[np.ndarray]:
@@ -56,6 +59,13 @@ def token_sets(texts: list[bytes], n: int) -> list[np.ndarray]:
     return out
 
 
+def bitmap(tokens: np.ndarray) -> np.ndarray:
+    """Parities of a set's tokens over 64 * WORDS places. Two sets differ in as many tokens at least as their bitmaps do
+    in bits, so that a bitmap tells sets apart that are too different to link."""
+    at = (tokens >> np.uint64(40)).astype(np.int64) % (64 * WORDS)
+    return np.packbits(np.bincount(at, minlength=64 * WORDS).astype(np.uint8) & 1).view(np.int64)
+
+
 def least_linked(num: int, den: int) -> int:
     """Tokens of the smallest set that can link with a different one."""
     return -(-num // (den - num)) if num < den else 1 << 60
@@ -96,12 +106,14 @@ def signatures(tokens: np.ndarray, counts: np.ndarray, mean: float, num: int, de
 
 def _count(n: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(BUCKETS, np.int64)
+        total = np.zeros(BUCKETS, np.int64)  # of this task
         for part in chunks(batches):
             found = token_sets(raw(part), n)
-            total += np.bincount((np.concatenate(found) & np.uint64(BUCKETS - 1)).astype(np.int64), minlength=BUCKETS)
+            np.add.at(total, (np.concatenate(found) & np.uint64(BUCKETS - 1)).astype(np.int64), 1)
         some = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(total[some])], names=["bucket", "n"])
+        for i in range(0, len(some), 1 << 16):
+            at = some[i : i + (1 << 16)]
+            yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], names=["bucket", "n"])
 
     return run
 
@@ -111,7 +123,9 @@ def _keys(n: int):
         for part in chunks(batches):
             found = token_sets(raw(part), n)
             ck = np.array([xxhash.xxh3_64_intdigest(x.tobytes()) for x in found], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("tk"), pa.array(ck), pa.array([len(x) for x in found], pa.int32())], names=["doc_id", "tk", "ck", "n"])
+            bits = np.array([bitmap(x) for x in found]).reshape(len(found), WORDS)
+            cols = [part.column("doc_id"), part.column("tk"), pa.array(ck), pa.array([len(x) for x in found], pa.int32()), *(pa.array(bits[:, i]) for i in range(WORDS))]
+            yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "tk", "ck", "n", *BITS])
 
     return run
 
@@ -172,10 +186,10 @@ def join(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100) -> DataFram
         raise ValueError("the threshold must be from 1/2 to 1")
     docs = documents(docs)
     spark = docs.sparkSession
-    keys = scratch(docs.mapInArrow(_keys(n), "doc_id long, tk long, ck long, n int"), "keys")
-    sketch = np.zeros(BUCKETS, np.int64)
+    keys = scratch(docs.mapInArrow(_keys(n), "doc_id long, tk long, ck long, n int, " + ", ".join(f"{b} long" for b in BITS)), "keys")
+    sketch = np.zeros(BUCKETS, np.int32)
     rows = docs.mapInArrow(_count(n), "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()  # BUCKETS rows at most
-    sketch[rows.column("bucket").to_numpy()] = rows.column("n").to_numpy()
+    sketch[rows.column("bucket").to_numpy()] = np.minimum(rows.column("n").to_numpy(), 1 << 30)
     counts = spark.sparkContext.broadcast(sketch)
     sigs = docs.mapInArrow(_sign(n, counts, num, den), "sig long, ck long, n int")
     groups = sigs.groupBy("sig").agg(F.min(F.struct("ck", "n")).alias("p"), F.max("ck").alias("m")).where("p.ck != m")
@@ -198,9 +212,13 @@ def join(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100) -> DataFram
     apart = members.join(part, members.ck == part.node, "left").select("sig", "ck", "n", F.coalesce("component", "ck").alias("c"))
     apart = scratch(apart, "apart")
     mixed = apart.groupBy("sig").agg(F.min("c").alias("x"), F.max("c").alias("y")).where("x != y").select("sig")
-    apart = scratch(apart.join(mixed, "sig"), "apart")
-    x, y = apart.select("sig", F.col("ck").alias("a"), F.col("n").alias("na"), F.col("c").alias("ca")), apart.select("sig", F.col("ck").alias("b"), F.col("n").alias("nb"), F.col("c").alias("cb"))
-    more = x.join(y, "sig").where("a < b and ca != cb").where(near.format("na", "nb")).select("a", "b").dropDuplicates()
+    bits = keys.select("ck", *BITS).join(members.select("ck").dropDuplicates(), "ck", "left_semi").dropDuplicates(["ck"])
+    apart = apart.join(scratch(mixed, "mixed"), "sig").join(scratch(bits, "bits"), "ck")
+    apart = scratch(apart, "apart")
+    x, y = (apart.select("sig", F.col("ck").alias(k), F.col("n").alias(f"n{k}"), F.col("c").alias(f"c{k}"), *(F.col(v).alias(f"{v}{k}") for v in BITS)) for k in ("a", "b"))
+    differ = " + ".join(f"bit_count({v}a ^ {v}b)" for v in BITS)
+    close = f"{den + num} * ({differ}) <= {den - num} * (na + nb)"
+    more = x.join(y, "sig").where("a < b and ca != cb").where(near.format("na", "nb")).where(close).select("a", "b").dropDuplicates()
     more = scratch(more.join(first, ["a", "b"], "left_anti"), "pairs")
     part = components(found.union(links(more)))
     return _result(keys, part)
