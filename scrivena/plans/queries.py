@@ -234,7 +234,7 @@ def ds_angle_pairs(s, d):
 
 @query
 def ds_quota_gaps(s, d):
-    return dataset.quota_gaps(table(s, d, "image_meta").where("image_id < 700"), "format", dataset.FORMAT_TARGETS)
+    return dataset.quota_gaps(table(s, d, "image_meta"), "format", dataset.FORMAT_TARGETS)
 
 
 @query

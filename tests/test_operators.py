@@ -182,3 +182,16 @@ def test_images(spark):
     assert df.select(images.variance()(F.col("image"))).first()[0] > 0
     assert len(df.select(images.normalized()(F.col("image"))).first()[0]) == 18
     assert images.padded_batch([x, x[:1]]).shape == (2, 3, 2, 3) and images.box_targets(16, 16, [[0, 0, 8, 8]]).max() > 0
+
+
+def image_meta_dir(spark, path, ids):
+    spark.createDataFrame([(i,) for i in ids for _ in range(2)], "l_orderkey long").write.parquet(f"{path}/lineitem.parquet")
+    return str(path)
+
+
+def test_quota_gaps_count_the_whole_table(spark, tmp_path):
+    from scrivena.plans.queries import QUERIES
+
+    ids = [*range(0, 1500, 5), *range(2001, 2501, 5), *range(3003, 3018, 5), *range(2, 252, 5)]
+    gaps = {r.key: (r.actual, r.missing) for r in QUERIES["ds_quota_gaps"](spark, image_meta_dir(spark, tmp_path, ids)).collect()}
+    assert gaps == {"screen": (50, 100), "excel": (3, 97), "handwrite": (0, 50)}
