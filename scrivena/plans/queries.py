@@ -239,7 +239,7 @@ def ds_quota_gaps(s, d):
 
 @query
 def synth_plan(s, d):
-    counts = table(s, d, "image_meta").where("image_id < 300").groupBy("industry").agg(F.count("*").alias("real_count"))
+    counts = table(s, d, "image_meta").groupBy("industry").agg(F.count("*").alias("real_count"))
     return dataset.supplements(counts).drop("reason")
 
 

@@ -195,3 +195,13 @@ def test_quota_gaps_count_the_whole_table(spark, tmp_path):
     ids = [*range(0, 1500, 5), *range(2001, 2501, 5), *range(3003, 3018, 5), *range(2, 252, 5)]
     gaps = {r.key: (r.actual, r.missing) for r in QUERIES["ds_quota_gaps"](spark, image_meta_dir(spark, tmp_path, ids)).collect()}
     assert gaps == {"screen": (50, 100), "excel": (3, 97), "handwrite": (0, 50)}
+
+
+def test_synth_plan_counts_the_whole_table(spark, tmp_path):
+    from scrivena.plans.queries import QUERIES
+
+    ids = [*range(0, 600, 6), *range(6001, 6295, 6), *range(302, 602, 6), *range(9003, 9009, 6)]
+    plan = {r.industry: (r.real_count, r.recommended_render, r.recommended_aug) for r in QUERIES["synth_plan"](spark, image_meta_dir(spark, tmp_path, ids)).collect()}
+    assert plan == {"hospital": (100, 0, 200), "convenience": (49, 25, 25), "factory": (50, 0, 150), "office": (1, 25, 25)}
+    none = dataset.supplements(spark.createDataFrame([("food", 0)], "industry string, real_count long")).first()
+    assert (none.recommended_render, none.recommended_aug) == (80, 0)
