@@ -7,7 +7,10 @@ the levels from the one where about SLOTS / 2 of its terms are left, LEVELS of t
 sorted, and their hash is one part of the fingerprint. Two fingerprints are alike as the share of lexicons with equal
 hashes among those that either document has terms in, on the finest level that both use.
 
-Document frequencies come from all documents. Terms above the band number at most (mean distinct terms) / `most`,
+Where the band leaves fewer than FEW terms and less than half of a text's, the text is fingerprinted by all its terms, and
+compared by all terms with any other.
+
+Document frequencies come from all distinct texts, so that copies count once. Terms above the band number at most (mean distinct terms) / `most`,
 whatever the corpus, so that list is held on the driver and put into the plan.
 
 Defined results: null text is empty; a text without terms has the empty fingerprint, alike (1.0) to an empty one and
@@ -24,6 +27,8 @@ from scrivena.llm._common import documents
 from scrivena.operators.ranks import range_of
 
 SLOTS, LEVELS = 64, 3
+#: A band that leaves fewer terms than this, and less than half of a text's, says too little about the text.
+FEW = 16
 #: Terms in more than this share of documents are below the band of inverse document frequency.
 MOST = 0.02
 #: In small tables a term is above the band only if so many documents hold it.
@@ -38,24 +43,31 @@ def term_hashes(text: Column) -> Column:
     return F.array_distinct(F.transform(F.filter(words, lambda w: w != ""), lambda w: F.xxhash64(w)))
 
 
-def stop_terms(docs: DataFrame, most: float = MOST) -> list[int]:
-    """Hashes of the terms above the band: at most (mean distinct terms) / most of them."""
-    n = docs.count()
-    terms = docs.select(F.explode(term_hashes(F.col("text"))).alias("t")).groupBy("t").count()
-    return sorted(r[0] for r in terms.where(F.col("count") > max(most * n, LEAST)).select("t").collect())
+def stop_terms(docs: DataFrame, most: float = MOST) -> list[int] | None:
+    """Hashes of the terms above the band: at most (mean distinct terms) / most of them. None where the band is empty,
+    as all terms are above it."""
+    # Copies count once. Of each text only the terms' hashes are shuffled.
+    texts = docs.groupBy(F.xxhash64("text").alias("tk")).agg(F.first(term_hashes(F.col("text"))).alias("ts"))
+    limit = max(most * docs.select(F.xxhash64("text")).distinct().count(), LEAST)
+    if limit < 1:
+        return None
+    terms = texts.select(F.explode("ts").alias("t")).groupBy("t").count()
+    return sorted(r[0] for r in terms.where(F.col("count") > limit).select("t").collect())
 
 
-def fingerprint(text: Column, stop: list[int]) -> Column:
-    """array<array<long>>: for each level used, a value per lexicon that the text has terms in: the hash of its sorted
-    terms, the lexicon's number in the last bits. The first array holds the first level's number."""
-    terms = term_hashes(text)
-    if stop:
-        terms = F.filter(terms, lambda t: ~t.isin(stop))
-    return _levels(terms)
+def fingerprint(text: Column, stop: list[int] | None) -> Column:
+    """struct of band and whole: the levels of the terms in the band (null where it leaves too few), and of all terms."""
+    inside = lambda ts: F.filter(ts, lambda t: F.lit(False) if stop is None else ~t.isin(stop)) if stop != [] else ts
+    pick = F.transform(F.array(term_hashes(text)), lambda ts: F.struct(ts.alias("ts"), inside(ts).alias("band")))
+    thin = lambda p: (F.size(p["band"]) < FEW) & (2 * F.size(p["band"]) < F.size(p["ts"]))
+    return F.transform(pick, lambda p: F.struct(F.when(~thin(p), _levels(p["band"])).alias("band"), _levels(p["ts"]).alias("whole")))[0]
 
 
 def _levels(terms: Column) -> Column:
-    """Written for a column of terms that is computed once."""
+    """array<array<long>>: for each level used, a value per lexicon that the text has terms in: the hash of its sorted
+    terms, the lexicon's number in the last bits. The first array holds the first level's number.
+
+    Written for a column of terms that is computed once."""
     pick = F.transform(F.array(terms), lambda ts: F.struct(ts.alias("ts"), F.greatest(F.lit(0), F.ceil(F.log2(F.greatest(F.size(ts), F.lit(1)) / F.lit(SLOTS / 2.0)))).cast("int").alias("r")))
     return F.transform(pick, lambda p: F.concat(F.array(F.array(p["r"].cast("long"))), F.transform(F.sequence(F.lit(0), F.lit(LEVELS - 1)), lambda k: _level(p["ts"], p["r"] + k))))[0]
 
@@ -80,21 +92,30 @@ def _level(terms: Column, r: Column) -> Column:
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """From 0 to 1; on the finest level that both fingerprints use."""
-    ra, rb = a[0][0], b[0][0]
-    level = F.greatest(ra, rb)
+    """From 0 to 1; by the band if both fingerprints have it, else by all terms."""
+    band = a["band"].isNotNull() & b["band"].isNotNull()
+    return F.when(band, _likeness(a["band"], b["band"])).otherwise(_likeness(a["whole"], b["whole"])).cast("double")
+
+
+def _likeness(a: Column, b: Column) -> Column:
+    """On the finest level that both use."""
+    level = F.greatest(a[0][0], b[0][0])
     x, y = (F.get(v, (level - v[0][0] + 1).cast("int")) for v in (a, b))
     slots = lambda v: F.transform(v, lambda h: h.bitwiseAND(F.lit(SLOTS - 1).cast("long")))
     either = F.size(F.array_union(slots(x), slots(y)))
-    empty = lambda v: (v[0][0] == 0) & (F.size(v[1]) == 0)
     alike = F.when(x.isNull() | y.isNull() | (either == 0), 0.0).otherwise(F.size(F.array_intersect(x, y)) / either)
-    return F.when(a == b, 1.0).when(empty(a) | empty(b), 0.0).otherwise(alike).cast("double")
+    return F.when(a == b, 1.0).when(_empty(a) | _empty(b), 0.0).otherwise(alike)
+
+
+def _empty(v: Column) -> Column:
+    return (v[0][0] == 0) & (F.size(v[1]) == 0)
 
 
 def as_text(f: Column) -> Column:
-    """The fingerprint as one string; the empty string without terms."""
-    body = F.array_join(F.transform(f, lambda level: F.array_join(F.transform(level, lambda h: F.lower(F.hex(h))), ".")), "-")
-    return F.when((f[0][0] == 0) & (F.size(f[1]) == 0), "").otherwise(body)
+    """The fingerprint as one string, of all terms where there is no band; the empty string without terms."""
+    used = F.coalesce(f["band"], f["whole"])
+    body = F.array_join(F.transform(used, lambda level: F.array_join(F.transform(level, lambda h: F.lower(F.hex(h))), ".")), "-")
+    return F.when(_empty(f["whole"]), "").otherwise(body)
 
 
 def edited(docs: DataFrame, most: float = MOST) -> DataFrame:

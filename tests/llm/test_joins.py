@@ -183,3 +183,22 @@ def test_edited_digest(spark, sf_dir):
         t, nxt = docs[r.doc_id], docs[ids[(ids.index(r.doc_id) + 1) % len(ids)]]
         half = len(t) // 2
         assert r.edited_sha256 == hashlib.sha256((t[: len(t) - half] + nxt[:half]).encode()).hexdigest()
+
+
+def test_imatch_hot_groups(spark):
+    """Copies count once in document frequencies, and texts that the band leaves nothing of keep apart."""
+    rng = random.Random(5)
+    words = [f"v{i}" for i in range(200_000)]
+    some = lambda n: " ".join(rng.choice(words) for _ in range(n))
+    texts = [some(40) for _ in range(1000)]
+    copied, template, other = some(40), some(40), some(40)
+    texts += [copied] * 500 + [f"{template} x{i}" for i in range(100)] + [f"{other} y{i}" for i in range(100)] + [template, other, "", None]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    stop = imatch.stop_terms(df)
+    assert set(stop) == {r.t for t in (template, other) for r in spark.createDataFrame([(t,)], "text string").select(imatch.F.explode(imatch.term_hashes(imatch.F.col("text"))).alias("t")).collect()}
+    pairs = [(copied, copied), (template, other), (copied, template), (template, f"{template} x1"), (template, " ".join(template.split()[:20]) + " " + some(20)), ("", None), (template, "")]
+    a, b = (imatch.fingerprint(imatch.F.col(c), stop) for c in "ab")
+    got = spark.createDataFrame(pairs, "a string, b string").select(a.alias("a"), b.alias("b")).select(imatch.likeness(imatch.F.col("a"), imatch.F.col("b")).alias("n"), imatch.as_text(imatch.F.col("a")).alias("f")).collect()
+    n = [r.n for r in got]
+    assert n[0] == 1.0 and n[1] < 0.1 and n[2] < 0.1 and n[3] > 0.9 and n[4] > 0.15 and n[5] == 1.0 and n[6] == 0.0
+    assert len({r.f for r in got}) == 3 and [r.f == "" for r in got] == [False] * 5 + [True, False]
