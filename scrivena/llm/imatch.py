@@ -3,9 +3,11 @@
 Terms (lower-cased words) are kept within a band of inverse document frequency: those that more than `most` of all
 documents hold are left out. Two lexicon sizes would suit only documents of one length, so lexicons come in levels: level
 r has one in 2**r of all terms (those whose hash ends in r zeros), dealt at random into SLOTS lexicons. A document uses
-the levels from the one where about SLOTS / 2 of its terms are left, LEVELS of them. For each lexicon its terms are
-sorted, and their hash is one part of the fingerprint. Two fingerprints are alike as the share of lexicons with equal
-hashes among those that either document has terms in, on the finest level that both use.
+the levels from the one where about SLOTS / 2 of its terms are left, LEVELS of them. The base lexicon holds all terms of
+the band, so that every one of them reaches the fingerprint. For each lexicon its terms are sorted, and their hash is one
+part of the fingerprint. Two fingerprints are alike as the share of lexicons with equal hashes among the base and those
+that either document has terms in, on the finest level that both use. Fingerprints are equal only where all terms of the
+band are; how alike unequal ones of long texts are is told by the terms of a level, about SLOTS / 4 to SLOTS / 2 of them.
 
 Where the band leaves fewer than FEW terms and less than half of a text's, the text is fingerprinted by all its terms, and
 compared by all terms with any other.
@@ -65,11 +67,12 @@ def fingerprint(text: Column, stop: list[int] | None) -> Column:
 
 def _levels(terms: Column) -> Column:
     """array<array<long>>: for each level used, a value per lexicon that the text has terms in: the hash of its sorted
-    terms, the lexicon's number in the last bits. The first array holds the first level's number.
+    terms, the lexicon's number in the last bits. The first array holds the first level's number and the hash of all terms,
+    which is the base lexicon's value.
 
     Written for a column of terms that is computed once."""
     pick = F.transform(F.array(terms), lambda ts: F.struct(ts.alias("ts"), F.greatest(F.lit(0), F.ceil(F.log2(F.greatest(F.size(ts), F.lit(1)) / F.lit(SLOTS / 2.0)))).cast("int").alias("r")))
-    return F.transform(pick, lambda p: F.concat(F.array(F.array(p["r"].cast("long"))), F.transform(F.sequence(F.lit(0), F.lit(LEVELS - 1)), lambda k: _level(p["ts"], p["r"] + k))))[0]
+    return F.transform(pick, lambda p: F.concat(F.array(F.array(p["r"].cast("long"), F.xxhash64(F.array_sort(p["ts"])))), F.transform(F.sequence(F.lit(0), F.lit(LEVELS - 1)), lambda k: _level(p["ts"], p["r"] + k))))[0]
 
 
 def _level(terms: Column, r: Column) -> Column:
@@ -103,7 +106,7 @@ def _likeness(a: Column, b: Column) -> Column:
     x, y = (F.get(v, (level - v[0][0] + 1).cast("int")) for v in (a, b))
     slots = lambda v: F.transform(v, lambda h: h.bitwiseAND(F.lit(SLOTS - 1).cast("long")))
     either = F.size(F.array_union(slots(x), slots(y)))
-    alike = F.when(x.isNull() | y.isNull() | (either == 0), 0.0).otherwise(F.size(F.array_intersect(x, y)) / either)
+    alike = F.when(x.isNull() | y.isNull() | (either == 0), 0.0).otherwise(F.size(F.array_intersect(x, y)) / (either + 1))
     return F.when(a == b, 1.0).when(_empty(a) | _empty(b), 0.0).otherwise(alike)
 
 

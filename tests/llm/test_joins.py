@@ -202,3 +202,12 @@ def test_imatch_hot_groups(spark):
     n = [r.n for r in got]
     assert n[0] == 1.0 and n[1] < 0.1 and n[2] < 0.1 and n[3] > 0.9 and n[4] > 0.15 and n[5] == 1.0 and n[6] == 0.0
     assert len({r.f for r in got}) == 3 and [r.f == "" for r in got] == [False] * 5 + [True, False]
+
+
+def test_imatch_lexicons_cover_the_band(spark):
+    """A text that differs by any one term of the band has another fingerprint, alike but not equal."""
+    words = [f"u{i}" for i in range(400)]
+    rows = [(" ".join(words), " ".join(words[:i] + ["other"] + words[i + 1 :])) for i in range(0, 400, 10)]
+    a, b = (imatch.fingerprint(imatch.F.col(c), []) for c in "ab")
+    got = spark.createDataFrame(rows, "a string, b string").select(a.alias("a"), b.alias("b")).select(imatch.as_text(imatch.F.col("a")).alias("f"), imatch.as_text(imatch.F.col("b")).alias("g"), imatch.likeness(imatch.F.col("a"), imatch.F.col("b")).alias("n")).collect()
+    assert all(r.f != r.g and 0.8 < r.n < 1.0 for r in got) and len({r.g for r in got}) == len(rows)
