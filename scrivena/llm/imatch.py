@@ -33,8 +33,6 @@ SLOTS, LEVELS = 64, 3
 FEW = 16
 #: Terms in more than this share of documents are below the band of inverse document frequency.
 MOST = 0.02
-#: In small tables a term is above the band only if so many documents hold it.
-LEAST = 16
 #: Ranges of ids in which documents are put in order.
 RANGES = 1024
 
@@ -50,7 +48,7 @@ def stop_terms(docs: DataFrame, most: float = MOST) -> list[int] | None:
     as all terms are above it."""
     # Copies count once. Of each text only the terms' hashes are shuffled.
     texts = docs.groupBy(F.xxhash64("text").alias("tk")).agg(F.first(term_hashes(F.col("text"))).alias("ts"))
-    limit = max(most * docs.select(F.xxhash64("text")).distinct().count(), LEAST)
+    limit = most * docs.select(F.xxhash64("text")).distinct().count()
     if limit < 1:
         return None
     terms = texts.select(F.explode("ts").alias("t")).groupBy("t").count()

@@ -211,3 +211,11 @@ def test_imatch_lexicons_cover_the_band(spark):
     a, b = (imatch.fingerprint(imatch.F.col(c), []) for c in "ab")
     got = spark.createDataFrame(rows, "a string, b string").select(a.alias("a"), b.alias("b")).select(imatch.as_text(imatch.F.col("a")).alias("f"), imatch.as_text(imatch.F.col("b")).alias("g"), imatch.likeness(imatch.F.col("a"), imatch.F.col("b")).alias("n")).collect()
     assert all(r.f != r.g and 0.8 < r.n < 1.0 for r in got) and len({r.g for r in got}) == len(rows)
+
+
+def test_imatch_band_is_a_share_at_every_size(spark):
+    for n in (100, 200):
+        # Terms a and b are in 2 % of texts and in one text more.
+        rows = [(i, f"t{i}" + " a" * (i < n // 50) + " b" * (i <= n // 50)) for i in range(n)]
+        df = spark.createDataFrame(rows, "doc_id long, text string")
+        assert imatch.stop_terms(df) == [spark.range(1).select(imatch.F.xxhash64(imatch.F.lit("b"))).first()[0]]
