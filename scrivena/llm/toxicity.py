@@ -87,11 +87,11 @@ class Presence:
     def __init__(self, weights: dict[str, float], bias: float):
         self.weights, self.bias = weights, bias
         # A word scores only through these, so that most words are done with one look at their beginning.
-        self.begins = {f.rstrip("*")[: min(STEMS)] for f in weights}
+        self.begins = {f.removesuffix("*")[: min(STEMS)] for f in weights}
 
     def logit(self, text: str) -> float:
         k, begins = min(STEMS), self.begins
-        found = {w for w in set(text.lower().split()) if w[:k] in begins or w.lstrip(STRIP)[:k].rstrip(STRIP) in begins}
+        found = {w for w in set(text.lower().split()) if w[:k] in begins or w.strip(STRIP)[:k] in begins}
         weights = self.weights
         return self.bias + sum(sorted(weights[f] for f in terms(found) if f in weights))
 

@@ -97,3 +97,10 @@ def test_features_are_those_of_single_words():
     for w, s, n in zip(words, at, per):
         one, m = quality.features([w], 1 << 16)
         assert m[0] == n and sorted(rows[s : s + n]) == sorted(one)
+
+
+def test_scoring_strips_words_as_training_does():
+    weights = {"non-white": 2.0, "f****": 3.0, "gay": 1.0, "a-b": 4.0}
+    model = toxicity.Presence(weights, 0.0)
+    for w in ("non-white", "(non-white", "(non-white)", "f***ed", "(f***ed!", "gay", "'gay',", "[a-b]", "a-b-", "nongay", "f*"):
+        assert model.logit(w) == sum(weights[f] for f in toxicity.terms({w}) if f in weights), w
