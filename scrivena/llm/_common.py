@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import os
+import re
 import uuid
 from collections.abc import Iterator
 
@@ -12,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Used only where the session names no spark.checkpoint.dir, as in tests.
+#: Used only by a local session that names no spark.checkpoint.dir, as in tests.
 LOCAL_CHECKPOINTS = "/tmp/checkpoints"
 _ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 _written: list = []
@@ -28,8 +29,11 @@ def prepare(spark: SparkSession) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that the driver and all executors share."""
-    return (spark.conf.get("spark.checkpoint.dir", None) or LOCAL_CHECKPOINTS).rstrip("/")
+    """The folder that the driver and all executors share. A cluster has to name it."""
+    found = spark.conf.get("spark.checkpoint.dir", None)
+    if not found and not re.fullmatch(r"local(\[[^]]*\])?", spark.sparkContext.master):
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+    return (found or LOCAL_CHECKPOINTS).rstrip("/")
 
 
 def _delete(spark: SparkSession, path: str) -> None:
@@ -49,12 +53,22 @@ def _clean() -> None:
 
 def scratch(df: DataFrame, name: str) -> DataFrame:
     """Writes df as a table in the shared folder and reads it again: lineage ends there, so that a lost executor
-    costs a read and not a recomputation. The tables go when the driver's process ends."""
+    costs a read and not a recomputation. The tables go by discard(), or when the driver's process ends."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/scrivena/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     _written.append((spark, path))
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._scratch_path = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes tables made by scratch() that nothing reads any more."""
+    for t in tables:
+        path = t._scratch_path
+        _delete(t.sparkSession, path)
+        _written[:] = [w for w in _written if w[1] != path]
 
 
 def documents(df: DataFrame, *more: str) -> DataFrame:
@@ -114,3 +128,55 @@ def covered(n: int, starts, ends) -> np.ndarray:
     np.add.at(d, np.asarray(starts), 1)
     np.add.at(d, np.asarray(ends), -1)
     return np.cumsum(d[:-1]) > 0
+
+
+_SPACE = np.zeros(256, bool)
+_SPACE[[9, 10, 11, 12, 13, 32]] = True
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+_VALUES = np.random.default_rng(20).integers(1, 1 << 63, 256, dtype=np.uint64)
+_STEP, _BACK = 0x9FB21C651E98DF25, pow(0x9FB21C651E98DF25, -1, 1 << 64)
+
+
+class _Powers:
+    """Powers of the word hash's base and of its inverse, as many as were asked for so far."""
+
+    up = down = np.ones(1, np.uint64)
+
+    @classmethod
+    def first(cls, n: int) -> tuple[np.ndarray, np.ndarray]:
+        while len(cls.up) < n:
+            k = len(cls.up)
+            cls.up = np.concatenate((cls.up, cls.up * np.uint64(pow(_STEP, k, 1 << 64))))
+            cls.down = np.concatenate((cls.down, cls.down * np.uint64(pow(_BACK, k, 1 << 64))))
+        return cls.up[:n], cls.down[:n]
+
+
+def mix(x: np.ndarray) -> np.ndarray:
+    """A 64-bit finaliser."""
+    x = (x ^ (x >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def words_at(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the words [^\\x20\\x09-\\x0D]+ in an array of bytes."""
+    edge = np.flatnonzero(np.diff(np.concatenate(([True], _SPACE[text], [True])).view(np.int8)))
+    return edge[::2], edge[1::2]
+
+
+def hash_words(texts: list[bytes], lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of the texts' words, end to end, and how many words each text has. lower: A-Z count as a-z.
+
+    A word's hash is a polynomial in random byte values, taken from prefix sums over all texts, and mixed.
+    """
+    sizes = np.fromiter(map(len, texts), np.int64, len(texts)) + 1
+    data = np.frombuffer(b"\n".join([*texts, b""]), np.uint8)
+    if lower:
+        data = _LOWER[data]
+    start, end = words_at(data)
+    up, down = _Powers.first(len(data))
+    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(_VALUES[data] * up, dtype=np.uint64)))
+    h = (sums[end] - sums[start]) * down[start]
+    count = np.diff(np.searchsorted(start, np.concatenate(([0], np.cumsum(sizes)))))
+    return mix(h + (end - start).astype(np.uint64) * np.uint64(0xA0761D6478BD642F)), count

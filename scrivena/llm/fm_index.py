@@ -1,11 +1,12 @@
 """Substring dedup over words: a compressed FM-index per shard, searched backwards with matching statistics.
 
 A document's word is removed when it lies in a window of `span` words whose sequence also starts in a document with a
-smaller doc_id; windows are judged on the input. `windows` finds the stretches of text that could repeat. Those whose
-neighbourhood differs from copy to copy are dealt out into shards; each shard builds one FM-index (suffix array by
-prefix doubling, wavelet matrix of packed bit vectors with block counts, LCP array) and streams its documents' stretches
-through it from right to left, all in lock-step. Every place gets its matching statistic and suffix-array interval, and
-where at least `span` words match, the interval gives the least doc_id in which they start.
+smaller doc_id; windows are judged on the input. `windows` finds the stretches of text that could repeat, and gathers
+those with one anchor. A shard orders each anchor's stretches by the least doc_id that holds them, and halves this order
+again and again: of every two halves, the earlier one is built into an FM-index (suffix array by prefix doubling, wavelet
+matrix of packed bit vectors with block counts, LCP array), and the stretches of the later one are streamed through it
+from right to left, all in lock-step. Every place gets its matching statistic, the longest match with an earlier
+document; where it reaches `span` words, a repeated window starts. A stretch is never searched in an index that holds it.
 
 Defined results: null text has no words; empty tables give no rows; rows without a doc_id are left out; rows that share
 doc_id and text are one document, so copies of a row don't remove each other; other columns are ignored.
@@ -17,14 +18,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scrivena.llm import windows
-from scrivena.llm._common import chunks, covered, documents, raw, scratch, spans_of
+from scrivena.llm._common import chunks, covered, documents, hash_words, raw, spans_of
 
-SPAN, GRAM, BLOCK = 50, 16, 6
+SPAN, GRAM = 50, 16
+#: Windows in a stretch, each time that large anchors are cut.
+BLOCKS = (6, 2, 1)
 
 
 class BitVector:
@@ -158,38 +160,51 @@ class FMIndex:
             length[at], low[at], high[at] = m, l, h
         return length, low, high
 
-    def least(self, low: np.ndarray, per_seq: np.ndarray, depth: int) -> np.ndarray:
-        """For suffix-array places: the least value of the sequences whose suffixes share `depth` symbols with it."""
-        new = np.concatenate(([True], self.lcp[1:-1] < depth))
-        least = np.minimum.reduceat(per_seq[self.seq[self.sa]], np.flatnonzero(new))
-        return least[np.cumsum(new) - 1][low]
 
-
-def word_hashes(text: bytes) -> np.ndarray:
-    return np.fromiter(map(xxhash.xxh3_64_intdigest, text.split()), np.uint64)
+def seen_earlier(seqs: list[np.ndarray], anchor: np.ndarray, low_doc: np.ndarray, span: int) -> list[np.ndarray]:
+    """For each sequence, at which places `span` symbols start that also start in a sequence of the same anchor with a
+    smaller low_doc. Sequences of one anchor lie together."""
+    sizes = np.array([len(s) for s in seqs])
+    out = [np.zeros(max(0, n - span + 1), bool) for n in sizes.tolist()]
+    order = np.lexsort((low_doc, anchor))
+    a, d = anchor[order], low_doc[order]
+    first = np.concatenate(([True], a[1:] != a[:-1]))
+    step = np.cumsum(np.concatenate(([False], d[1:] != d[:-1])) & ~first)
+    rank = np.empty(len(seqs), np.int64)
+    rank[order] = step - np.maximum.accumulate(np.where(first, step, 0))
+    number = np.unique(anchor, return_inverse=True)[1]
+    for bit in range(int(rank.max(initial=0)).bit_length()):
+        # Halves share all higher bits of the rank; the earlier one has a zero here.
+        half = number * (int(rank.max()) + 1) + (rank >> (bit + 1))
+        late = (rank >> bit) & 1 == 1
+        index_at = np.flatnonzero(~late & np.isin(half, half[late]))
+        stream_at = np.flatnonzero(late)
+        # Symbols of other halves are other symbols.
+        both = np.concatenate((index_at, stream_at))
+        own = np.unique(half[both], return_inverse=True)[1]
+        symbols = np.concatenate([seqs[i] for i in both]) * (int(own.max()) + 1) + np.repeat(own, sizes[both])
+        parts = np.split(np.unique(symbols, return_inverse=True)[1], np.cumsum(sizes[both])[:-1])
+        index = FMIndex(parts[: len(index_at)])
+        length, _, _ = index.matching_statistics(parts[len(index_at) :])
+        at = 0
+        for i in stream_at.tolist():
+            out[i] |= length[at : at + len(out[i])] >= span
+            at += int(sizes[i])
+    return out
+
+
+def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    return hash_words(texts)
 
 
 def _solve(span: int, shard_bytes: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for shard in windows.shards(batches, shard_bytes):
-            anchor, ctx, _, low_doc, _, data = zip(*shard)
+            anchor, _, _, low_doc, _, data = zip(*shard)
             hashes = [np.frombuffer(d, np.uint64) for d in data]
-            _, ids = np.unique(np.concatenate(hashes), return_inverse=True)
+            ids = np.unique(np.concatenate(hashes), return_inverse=True)[1]
             seqs = np.split(ids, np.cumsum([len(h) for h in hashes])[:-1])
-            index = FMIndex(seqs)
-            length, low, _ = index.matching_statistics(seqs)
-            least = index.least(low, np.array(low_doc), span)
-            # Where fewer than span words are left, no window starts.
-            at = np.concatenate([np.arange(len(s)) for s in seqs])
-            seq = np.repeat(np.arange(len(seqs)), [len(s) for s in seqs])
-            w = np.flatnonzero(length >= span)
-            if not len(w):
-                continue
-            new = np.concatenate(([True], (seq[w][1:] != seq[w][:-1]) | (least[w][1:] != least[w][:-1]) | (np.diff(at[w]) != 1)))
-            a, b = w[new], w[np.concatenate((np.flatnonzero(new)[1:] - 1, [len(w) - 1]))]
-            s = seq[a]
-            cols = [np.array(anchor)[s], np.array(ctx)[s], at[a].astype(np.int32), (at[b] + 1).astype(np.int32), least[a]]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["anchor", "ctx", "o0", "o1", "seen"])
+            yield windows.solved(shard, seen_earlier(seqs, np.array(anchor), np.array(low_doc), span))
 
     return run
 
@@ -199,18 +214,7 @@ def repeated_words(docs: DataFrame, span: int = SPAN, gram: int = GRAM) -> DataF
 
     docs has doc_id, tk and text (see _common.documents).
     """
-    if gram > span:
-        raise ValueError("gram must not exceed span")
-    runs = windows.all_runs(docs, word_hashes, span, gram, 1 << 19)
-    found = scratch(windows.anchors(runs), "anchors")
-    runs = scratch(windows.candidates(runs, found), "runs")
-    plain = runs.where("not mixed and low_doc < doc_id").select("doc_id", "tk", F.col("first").alias("a"), (F.col("last") + span).alias("b"))
-    mixed = runs.where("mixed").drop("low_doc", "mixed")
-    data = scratch(windows.contents(docs, mixed, word_hashes, span), "stretches")
-    solved = windows.decide(data, span, 8, BLOCK, _solve(span, 1 << 21))
-    split = mixed.join(solved, ["anchor", "ctx"]).where("seen < doc_id")
-    split = split.select("doc_id", "tk", (F.col("first") + F.col("o0")).alias("a"), (F.col("first") + F.col("o1") - 1 + span).alias("b"))
-    return windows.intervals(plain.unionByName(split))
+    return windows.repeated(docs, word_hashes, span, gram, 8, BLOCKS, _solve(span, 1 << 21), earlier=True)
 
 
 def _keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

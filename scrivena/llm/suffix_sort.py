@@ -1,15 +1,17 @@
-"""Substring dedup over bytes: suffixes sorted by merging, compared by polynomial hashes of prefixes.
+"""Substring dedup over bytes or words: suffixes sorted by merging, compared by polynomial hashes of prefixes.
 
-A byte is removed when it lies in a string of `span` bytes that also starts anywhere else, in the same document too.
-`windows` finds the stretches that could repeat. Stretches with one anchor but different surroundings are dealt out; in
-each shard the suffixes from the anchors, and the reversed prefixes before them, are sorted by a merge sort that works on
-all anchors at once. Two suffixes compare in logarithmic time: binary search over prefix hashes finds their common
-extension, and the byte after it decides. Neighbours' extensions are then checked byte by byte; a hash collision shows
-there, and the shard is sorted again under another hash. A window is repeated when some other stretch agrees with it
-both after the anchor (forward order) and before it (backward order).
+A symbol (byte or word) is removed when it lies in a string of `span` symbols that also starts anywhere else, in the same
+document too; or, if the first copy is to stay, that also starts in a document with a smaller doc_id. `windows` finds the
+stretches that could repeat. In each shard the suffixes from the stretches' anchors, and the reversed prefixes before
+them, are sorted by a merge sort that works on all anchors at once. Two suffixes compare in logarithmic time: binary
+search over prefix hashes finds their common extension, and the symbol after it decides. Neighbours' extensions are then
+checked symbol by symbol; a hash collision shows there, and the shard is sorted again under another hash. A window is
+repeated when some other stretch agrees with it both after the anchor (forward order) and before it (backward order).
 
 Defined results: null text is empty; empty tables give no rows; rows without a doc_id are left out; each row is a place
-of its own, so a repeated row repeats all of its strings of `span` bytes; other columns are ignored.
+of its own, so a repeated row repeats all of its strings of `span` symbols (if the first copy stays, rows of one doc_id
+don't remove each other); other columns are ignored. Texts are processed whole, about 80 bytes of memory for each byte of
+a text, so that a task of the default size takes texts of some ten megabytes.
 """
 
 from __future__ import annotations
@@ -19,20 +21,21 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from scrivena.llm import windows
-from scrivena.llm._common import chunks, covered, documents, raw, scratch, spans_of
+from scrivena.llm._common import chunks, covered, documents, hash_words, raw, spans_of, words_at
 
-SPAN, GRAM, BLOCK = 400, 128, 48
+SPAN, GRAM = 400, 128
+#: Windows in a stretch, each time that large anchors are cut.
+BYTE_BLOCKS, WORD_BLOCKS = (48, 12, 3, 1), (6, 2, 1)
 
 
 class HashedText:
-    """Prefix sums of a polynomial hash modulo 2**64 over random byte values; seed chooses values and base."""
+    """Prefix sums of a polynomial hash modulo 2**64 over random symbol values; seed chooses values and base."""
 
     def __init__(self, text: np.ndarray, seed: int = 0):
         rng = np.random.default_rng(seed)
-        values = rng.integers(1, 1 << 63, 256, dtype=np.uint64)
+        values = rng.integers(1, 1 << 63, int(text.max(initial=0)) + 1, dtype=np.uint64)
         base = int(rng.integers(1, 1 << 62)) * 4 + 3
         self.text, n = text, len(text)
         self.power = np.ones(n + 1, np.uint64)
@@ -105,27 +108,25 @@ def merge_sort(text: HashedText, at: np.ndarray, size: np.ndarray, group: np.nda
 
 
 def sorted_suffixes(text: np.ndarray, at: np.ndarray, size: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """merge_sort, with each pair of neighbours checked on the bytes; a collision sorts again under another hash."""
-    view = text.tobytes()
+    """merge_sort, with each pair of neighbours checked on the symbols; a collision sorts again under another hash."""
     for seed in range(16):
         order, lcp = merge_sort(HashedText(text, seed), at, size, group)
-        good = True
-        for x, y, l in zip(order[:-1].tolist(), order[1:].tolist(), lcp[1:].tolist()):
-            if l < 0:
-                continue
-            a, b = int(at[x]), int(at[y])
-            if view[a : a + l] != view[b : b + l] or view[a + l : a + int(size[x])][:1] > view[b + l : b + int(size[y])][:1]:
-                good = False
-                break
-        if good:
+        mine = np.flatnonzero(lcp >= 0)
+        x, y, n = order[mine - 1], order[mine], lcp[mine]
+        step = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+        same = (text[np.repeat(at[x], n) + step] == text[np.repeat(at[y], n) + step]).all()
+        more = (n < size[x]) & (n < size[y])
+        rises = text[np.where(more, at[x] + n, 0)] < text[np.where(more, at[y] + n, 0)]
+        if same and np.where(more, rises, size[x] <= size[y]).all():
             return order, lcp
     raise RuntimeError("hash collisions under 16 hashes")
 
 
-def repeated_starts(data: list[bytes], off: np.ndarray, n: np.ndarray, group: np.ndarray, span: int) -> list[np.ndarray]:
-    """For stretches around anchors (at off): which window starts of each are repeated. n: occurrences of a stretch."""
+def repeated_starts(data: list[np.ndarray], off: np.ndarray, low_doc: np.ndarray, group: np.ndarray, span: int, earlier: bool) -> list[np.ndarray]:
+    """For different stretches around anchors (at off): which window starts of each are in another one of its group too
+    (earlier: in one with a smaller low_doc)."""
     sizes = np.array([len(d) for d in data])
-    text = np.frombuffer(b"".join(data), np.uint8)
+    text = np.concatenate(data)
     base = np.cumsum(sizes) - sizes
     at = base + off
     fo, fl = sorted_suffixes(text, at, np.minimum(base + sizes - at, span), group)
@@ -145,74 +146,84 @@ def repeated_starts(data: list[bytes], off: np.ndarray, n: np.ndarray, group: np
     start = off[:, None] - o[None, :]
     valid = (start >= 0) & (start <= (sizes - span)[:, None])
     key = np.where(valid, key, -1 - np.arange(m)[:, None])
-    order = np.argsort(key, axis=0)
-    sorted_ = np.take_along_axis(key, order, 0)
-    twice = np.zeros((m, width), bool)
-    twice[1:] = sorted_[1:] == sorted_[:-1]
-    twice[:-1] |= twice[1:].copy()
     found = np.zeros((m, width), bool)
+    if earlier:
+        order = np.lexsort((np.broadcast_to(low_doc[:, None], key.shape), key), axis=0)
+        sorted_, low = np.take_along_axis(key, order, 0), low_doc[order]
+        new = np.ones((m, width), bool)
+        new[1:] = sorted_[1:] != sorted_[:-1]
+        first = np.maximum.accumulate(np.where(new, np.arange(m)[:, None], 0), axis=0)
+        twice = np.take_along_axis(low, first, 0) < low
+    else:
+        order = np.argsort(key, axis=0)
+        sorted_ = np.take_along_axis(key, order, 0)
+        twice = np.zeros((m, width), bool)
+        twice[1:] = sorted_[1:] == sorted_[:-1]
+        twice[:-1] |= twice[1:].copy()
     np.put_along_axis(found, order, twice, 0)
-    found = valid & (found | (n > 1)[:, None])
+    found &= valid
     out = []
     for i in range(m):
         w = np.zeros(sizes[i] - span + 1, bool)
-        js = start[i][found[i]]
-        w[js] = True
+        w[start[i][found[i]]] = True
         out.append(w)
     return out
 
 
-def _solve(span: int, shard_bytes: int):
+def _solve(span: int, shard_bytes: int, unit: str, earlier: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for shard in windows.shards(batches, shard_bytes):
-            anchor, ctx, n, _, off, data = zip(*shard)
-            found = repeated_starts(list(data), np.array(off), np.array(n), np.array(anchor), span)
-            rows = [(anchor[i], ctx[i], a, b, 0) for i, w in enumerate(found) for a, b in zip(*(x.tolist() for x in spans_of(w)))]
-            if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64()))], names=["anchor", "ctx", "o0", "o1", "seen"])
+            anchor, _, _, low_doc, off, data = zip(*shard)
+            codes = [np.frombuffer(d, np.uint8 if unit == "bytes" else np.uint64) for d in data]
+            if unit == "words":
+                numbers = np.unique(np.concatenate(codes), return_inverse=True)[1]
+                codes = np.split(numbers, np.cumsum([len(c) for c in codes])[:-1])
+            yield windows.solved(shard, repeated_starts(codes, np.array(off), np.array(low_doc), np.array(anchor), span, earlier))
 
     return run
 
 
-def symbols(text: bytes) -> np.ndarray:
-    return np.frombuffer(text, np.uint8)
+def symbols(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of all texts, and how many each has."""
+    return np.frombuffer(b"".join(texts), np.uint8), np.fromiter(map(len, texts), np.int64, len(texts))
 
 
-def repeated_bytes(docs: DataFrame, span: int = SPAN, gram: int = GRAM) -> DataFrame:
-    """doc_id, tk and cuts: byte intervals [a, b) of strings of `span` bytes that also start anywhere else."""
-    if gram > span:
-        raise ValueError("gram must not exceed span")
-    runs = windows.all_runs(docs, symbols, span, gram, 1 << 19)
-    found = scratch(windows.anchors(runs), "anchors")
-    runs = scratch(windows.candidates(runs, found), "runs")
-    plain = runs.where("not mixed").select("doc_id", "tk", F.col("first").alias("a"), (F.col("last") + span).alias("b"))
-    mixed = runs.where("mixed").drop("low_doc", "mixed")
-    data = scratch(windows.contents(docs, mixed, symbols, span), "stretches")
-    solved = windows.decide(data, span, 1, BLOCK, _solve(span, 1 << 19))
-    split = mixed.join(solved, ["anchor", "ctx"])
-    split = split.select("doc_id", "tk", (F.col("first") + F.col("o0")).alias("a"), (F.col("first") + F.col("o1") - 1 + span).alias("b"))
-    return windows.intervals(plain.unionByName(split))
+def repeated_strings(docs: DataFrame, span: int = SPAN, gram: int = GRAM, unit: str = "bytes", earlier: bool = False) -> DataFrame:
+    """doc_id, tk and cuts: intervals [a, b) of symbols in strings of `span` that also start elsewhere."""
+    if unit == "words":
+        return windows.repeated(docs, hash_words, span, gram, 8, WORD_BLOCKS, _solve(span, 1 << 20, unit, earlier), earlier)
+    return windows.repeated(docs, symbols, span, gram, 1, BYTE_BLOCKS, _solve(span, 1 << 19, unit, earlier), earlier)
 
 
-def _keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for part in chunks(batches, max_bytes=4 << 20):
-        out = []
-        for doc, tk, text, cuts in zip(part.column("doc_id").to_pylist(), part.column("tk").to_pylist(), raw(part), part.column("cuts").to_pylist()):
-            gone = covered(len(text), [c["a"] for c in cuts or ()], [c["b"] for c in cuts or ()])
-            a, b = (x.tolist() for x in spans_of(gone))
-            kept = b"".join(text[x:y] for x, y in zip([0, *b], [*a, len(text)])) if a else text
-            out.append((doc, tk, len(text), len(text) - len(kept), len(a), [{"start": x, "end": y} for x, y in zip(a, b)], kept))
-        types = [*[pa.int64()] * 5, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])), pa.binary()]
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names=["doc_id", "tk", "n_bytes", "n_removed", "n_spans", "spans", "kept"])
+def _keep(unit: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in chunks(batches, max_bytes=4 << 20):
+            out = []
+            for doc, tk, text, cuts in zip(part.column("doc_id").to_pylist(), part.column("tk").to_pylist(), raw(part), part.column("cuts").to_pylist()):
+                a, b = ([c[k] for c in cuts or ()] for k in ("a", "b"))
+                if unit == "words" and a:  # from the first removed word to the next kept one, or to the end
+                    start, _ = words_at(np.frombuffer(text, np.uint8))
+                    start = np.append(start, len(text))
+                    a, b = start[a].tolist(), start[b].tolist()
+                a, b = (x.tolist() for x in spans_of(covered(len(text), a, b)))
+                kept = b"".join(text[x:y] for x, y in zip([0, *b], [*a, len(text)])) if a else text
+                out.append((doc, tk, len(text), len(text) - len(kept), len(a), [{"start": x, "end": y} for x, y in zip(a, b)], kept))
+            types = [*[pa.int64()] * 5, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])), pa.binary()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names=["doc_id", "tk", "n_bytes", "n_removed", "n_spans", "spans", "kept"])
+
+    return run
 
 
-def drop_repeated_strings(docs: DataFrame, span: int = SPAN, gram: int = GRAM) -> DataFrame:
-    """Removes every byte covered by a string of `span` bytes that also starts anywhere else.
+def drop_repeated_strings(docs: DataFrame, span: int = SPAN, gram: int = GRAM, unit: str = "bytes", keep_first: bool = False) -> DataFrame:
+    """Removes every byte (unit="words": every word, with the space after it) covered by a string of `span` of them that
+    also starts anywhere else; keep_first: that also starts in a document with a smaller doc_id.
 
     Returns doc_id, tk (the text's hash), n_bytes, n_removed, n_spans, spans (removed byte intervals) and kept (the
-    remaining bytes; a cut may fall inside a character).
+    remaining bytes; of bytes, a cut may fall inside a character).
     """
+    if unit not in ("bytes", "words"):
+        raise ValueError("unit must be bytes or words")
     docs = documents(docs)
-    cuts = repeated_bytes(docs, span, gram)
+    cuts = repeated_strings(docs, span, gram, unit, keep_first)
     out = docs.join(cuts, ["doc_id", "tk"], "left").select("doc_id", "tk", "text", "cuts")
-    return out.mapInArrow(_keep, "doc_id long, tk long, n_bytes long, n_removed long, n_spans long, spans array<struct<start: long, end: long>>, kept binary")
+    return out.mapInArrow(_keep(unit), "doc_id long, tk long, n_bytes long, n_removed long, n_spans long, spans array<struct<start: long, end: long>>, kept binary")

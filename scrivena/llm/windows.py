@@ -9,9 +9,13 @@ Neighbouring windows with the same anchor form a run. All runs are shuffled as a
    decided by that; the others ("mixed") go on;
 3. `contents` fetches the symbols of one run for each distinct content of a mixed anchor.
 
-The operators then compare the contents of each anchor by the index that they are named after. Anchors with more than
-`GROUP` distinct contents don't go to one task: `decide` cuts their contents into shorter stretches, groups these by what
-they have in common, and deals out one by one only the windows of groups that are still too large, with partial sums.
+Contents of an anchor are compared by the index that the operator is named after, a task taking whole anchors. A task
+takes anchors of up to GROUP contents. The contents of a larger one are first dealt out under finer anchors: they are cut
+into stretches of fewer windows, and what all windows of a stretch have in common is its new anchor. `decide` repeats
+this down to single windows, where a stretch is its own anchor. The same index decides at every step, and what it says
+of a stretch is handed back to the contents that hold it, as one array of intervals each.
+
+Runs are identified by 64 bits of their anchor's hash and 64 of their content's.
 """
 
 from __future__ import annotations
@@ -24,9 +28,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scrivena.llm._common import chunks, raw, scratch
+from scrivena.llm._common import chunks, discard, mix, raw, scratch
 
-#: Distinct contents of an anchor that one task compares.
+#: Distinct contents that are compared under one anchor.
 GROUP = 256
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _BASE = np.uint64(0xD6E8FEB86659FD93)
@@ -36,13 +40,6 @@ _SHIFT = np.uint64(32)
 RUNS = "anchor long, ctx long, doc_id long, tk long, at int, first int, last int"
 
 
-def mix(x: np.ndarray) -> np.ndarray:
-    """A 64-bit finaliser."""
-    x = (x ^ (x >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
 def gram_hashes(sym: np.ndarray, k: int) -> np.ndarray:
     """Hash of the k symbols from each place, by doubling; the last k - 1 places hold those of shorter strings."""
     out, have, power = None, 0, sym.astype(np.uint64)
@@ -93,9 +90,8 @@ def window_runs(sym: np.ndarray, ends: np.ndarray, span: int, k: int):
 def _runs(symbols: Callable, span: int, k: int, max_bytes: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in chunks(batches, max_bytes=max_bytes):
-            texts = raw(part)
-            syms = [symbols(t) for t in texts]
-            sym, ends = np.concatenate(syms), np.cumsum([len(x) for x in syms])
+            sym, sizes = symbols(raw(part))
+            ends = np.cumsum(sizes)
             first, last, at, anchor, doc = window_runs(sym.astype(np.uint64), ends, span, k)
             if not len(first):
                 continue
@@ -111,8 +107,8 @@ def _runs(symbols: Callable, span: int, k: int, max_bytes: int):
 
 
 def all_runs(docs: DataFrame, symbols: Callable, span: int, k: int, max_bytes: int) -> DataFrame:
-    """RUNS of every document; symbols(text bytes) gives its array of symbols. at is the anchor's place, first and last
-    are the run's first and last window start."""
+    """RUNS of every document; symbols(texts) gives their symbols, end to end, and how many each text has. at is the anchor's
+    place, first and last are the run's first and last window start."""
     return docs.mapInArrow(_runs(symbols, span, k, max_bytes), RUNS)
 
 
@@ -126,48 +122,48 @@ def candidates(runs: DataFrame, found: DataFrame) -> DataFrame:
     return runs.join(found, "anchor")
 
 
-def contents(docs: DataFrame, mixed: DataFrame, symbols: Callable, span: int) -> DataFrame:
-    """One row for each anchor and content: anchor, ctx, off (from the run's first window to the anchor), n (runs),
-    low_doc (least doc_id), group (distinct contents of the anchor), data (the symbols' bytes)."""
+def distinct(mixed: DataFrame) -> DataFrame:
+    """One row for each anchor and content: anchor, ctx, n (runs), low_doc (least doc_id), r (the least run)."""
     per = mixed.groupBy("anchor", "ctx").agg(
         F.count("*").alias("n"), F.min("doc_id").alias("low_doc"),
         F.min(F.struct("doc_id", "tk", "first", "last", "at")).alias("r"),
     )
-    per = scratch(per, "contents")
-    sizes = scratch(per.groupBy("anchor").agg(F.count("*").alias("group")), "sizes")  # written, so that the join can split an anchor
-    per = per.join(sizes, "anchor").select("anchor", "ctx", "n", "low_doc", "group", "r.*")
-    wanted = per.groupBy("doc_id", "tk").agg(F.collect_list(F.struct("anchor", "ctx", "n", "low_doc", "group", "first", "last", "at")).alias("runs"))
+    return scratch(per, "contents")
+
+
+def contents(docs: DataFrame, per: DataFrame, symbols: Callable, span: int) -> DataFrame:
+    """CONTENTS of distinct()'s rows: off (from the run's first window to the anchor), data (the symbols' bytes)."""
+    wanted = per.select("anchor", "ctx", "n", "low_doc", "r.*").groupBy("doc_id", "tk").agg(F.collect_list(F.struct("anchor", "ctx", "n", "low_doc", "first", "last", "at")).alias("runs"))
     # Where rows are repeated, one row for each content is enough.
-    return docs.join(wanted, ["doc_id", "tk"]).mapInArrow(_cut(symbols, span), CONTENTS).dropDuplicates(["anchor", "ctx"])
+    return scratch(docs.join(wanted, ["doc_id", "tk"]).mapInArrow(_cut(symbols, span), CONTENTS).dropDuplicates(["anchor", "ctx"]), "stretches")
 
 
-CONTENTS = "anchor long, ctx long, n long, low_doc long, group long, off int, data binary"
+CONTENTS = "anchor long, ctx long, n long, low_doc long, off int, data binary"
+NAMES = [c.split()[0] for c in CONTENTS.split(", ")]
+SOLVED = "anchor long, ctx long, cuts array<struct<a: int, b: int>>"
+CUTS = pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())]))
 
 
 def _cut(symbols: Callable, span: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in chunks(batches):
-            out = []
-            for text, runs in zip(raw(part), part.column("runs").to_pylist()):
-                sym = symbols(text)
-                out += [(r["anchor"], r["ctx"], r["n"], r["low_doc"], r["group"], r["at"] - r["first"], sym[r["first"] : r["last"] + span].tobytes()) for r in runs]
+            out, start = [], 0
+            sym, sizes = symbols(raw(part))
+            for size, runs in zip(sizes.tolist(), part.column("runs").to_pylist()):
+                out += [(r["anchor"], r["ctx"], r["n"], r["low_doc"], r["at"] - r["first"], sym[start + r["first"] : start + r["last"] + span].tobytes()) for r in runs]
+                start += size
             if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (*[pa.int64()] * 5, pa.int32(), pa.binary()))], names=[c.split()[0] for c in CONTENTS.split(", ")])
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (*[pa.int64()] * 4, pa.int32(), pa.binary()))], names=NAMES)
 
     return run
 
 
-def by_anchor(data: DataFrame) -> DataFrame:
-    """Each anchor's contents together, anchors one after the other. No anchor here has more than GROUP."""
-    return data.where(F.col("group") <= GROUP).repartition("anchor").sortWithinPartitions("anchor")
-
-
-def shards(batches: Iterator[pa.RecordBatch], max_bytes: int) -> Iterator[dict]:
+def shards(batches: Iterator[pa.RecordBatch], max_bytes: int) -> Iterator[list[tuple]]:
     """Whole anchors, up to about max_bytes of symbols."""
     held: list[tuple] = []
     size, last = 0, None
     for batch in batches:
-        for row in zip(*(batch.column(c).to_pylist() for c in ("anchor", "ctx", "n", "low_doc", "off", "data"))):
+        for row in zip(*(batch.column(c).to_pylist() for c in NAMES)):
             if size > max_bytes and row[0] != last:
                 yield held
                 held, size = [], 0
@@ -177,23 +173,17 @@ def shards(batches: Iterator[pa.RecordBatch], max_bytes: int) -> Iterator[dict]:
         yield held
 
 
-def _single_windows(data: DataFrame, span: int, itemsize: int) -> DataFrame:
-    """One row a window: anchor, ctx, o0, o1, seen, for windows that several contents or runs of the anchor have."""
+def solved(shard: list[tuple], masks: list[np.ndarray]) -> pa.RecordBatch:
+    """SOLVED rows for a shard, from a mask of window starts for each of its contents."""
+    rows = []
+    for row, mask in zip(shard, masks):
+        if mask.any():
+            edge = np.flatnonzero(np.diff(np.concatenate(([0], mask.view(np.int8), [0]))))
+            rows.append((row[0], row[1], [{"a": a, "b": b} for a, b in zip(edge[::2].tolist(), edge[1::2].tolist())]))
+    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int64(), pa.int64(), CUTS))], names=["anchor", "ctx", "cuts"])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        digest, size = xxhash.xxh3_128_digest, span * itemsize
-        for batch in batches:
-            for row in zip(*(batch.column(c).to_pylist() for c in ("anchor", "ctx", "n", "low_doc", "data"))):
-                m = (len(row[4]) - size) // itemsize + 1
-                view = memoryview(row[4])
-                yield pa.RecordBatch.from_arrays(
-                    [*(pa.array([x] * m, pa.int64()) for x in row[:4]), pa.array(range(m), pa.int32()), pa.array([digest(view[i * itemsize : i * itemsize + size]) for i in range(m)], pa.binary())],
-                    names=["anchor", "ctx", "n", "low_doc", "o", "w"],
-                )
 
-    one = data.mapInArrow(run, "anchor long, ctx long, n long, low_doc long, o int, w binary")
-    total = one.groupBy("w").agg(F.sum("n").alias("n"), F.min("low_doc").alias("seen"))
-    return one.select("anchor", "ctx", "o", "w").join(total.where("n > 1"), "w").select("anchor", "ctx", F.col("o").alias("o0"), (F.col("o") + 1).alias("o1"), "seen")
+STRETCHES = "anchor1 long, ctx1 long, low1 long, a int, b int, " + CONTENTS
 
 
 def _split(span: int, itemsize: int, block: int):
@@ -202,9 +192,10 @@ def _split(span: int, itemsize: int, block: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         digest = xxhash.xxh3_64_intdigest
-        for batch in batches:
+        signed = lambda x: x - (1 << 64) if x >> 63 else x
+        for batch in chunks(batches, "data"):
             out = []
-            for anchor, ctx, n, low, off, data in zip(*(batch.column(c).to_pylist() for c in ("anchor", "ctx", "n", "low_doc", "off", "data"))):
+            for anchor, ctx, n, low, off, data in zip(*(batch.column(c).to_pylist() for c in NAMES)):
                 view, last = memoryview(data), len(data) // itemsize - span
                 for b in range((off - last) // block, off // block + 1):
                     j0, j1 = max(0, off - b * block - block + 1), min(last, off - b * block)
@@ -212,36 +203,62 @@ def _split(span: int, itemsize: int, block: int):
                         continue
                     core = view[(off - b * block) * itemsize : (off - b * block - block + 1 + span) * itemsize]
                     part = data[j0 * itemsize : (j1 + span) * itemsize]
-                    out.append((anchor, ctx, j0, np.uint64(digest(core, seed=b)).view(np.int64) ^ anchor, np.uint64(digest(part)).view(np.int64), n, low, off - j0, part))
+                    out.append((anchor, ctx, low, j0, j1 + 1, signed(digest(core, seed=b & 0xFFFFFFFF)) ^ anchor, signed(digest(part)), n, low, off - j0, part if block > 1 else b""))
             if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.int64(), pa.int32(), *[pa.int64()] * 4, pa.int32(), pa.binary()))], names=["anchor1", "ctx1", "j0", "anchor", "ctx", "n", "low_doc", "off", "data"])
+                types = (*[pa.int64()] * 3, pa.int32(), pa.int32(), *[pa.int64()] * 4, pa.int32(), pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names=[c.split()[0] for c in STRETCHES.split(", ")])
 
     return run
 
 
-def decide(data: DataFrame, span: int, itemsize: int, block: int, solve: Callable) -> DataFrame:
-    """anchor, ctx, o0, o1, seen: windows [o0, o1) of a run with that content also start elsewhere; seen is the least
-    doc_id in which they do (whatever solve says it is). solve maps batches of CONTENTS, sorted by anchor, to such rows.
+def decide(data: DataFrame, span: int, itemsize: int, blocks: tuple[int, ...], solve: Callable, whole: str) -> DataFrame:
+    """SOLVED rows: the windows [a, b) of a content that also start in another one, as solve sees it. solve maps batches of
+    CONTENTS, sorted by anchor, to SOLVED rows; whole is its rule for contents that are equal, over n and low_doc of all
+    of them and low1, the least doc_id of one.
 
-    Anchors of up to GROUP contents go to a task each. The others' contents are cut into short stretches, which agree in
-    all but a few symbols if they have anything in common, and are grouped again; what is still too many after that is
-    compared window by window.
+    blocks: windows in a stretch, for each time that the contents of large anchors are cut; the last is 1. More windows than
+    symbols in a span would have nothing in common, so such steps are left out.
     """
-    schema = "anchor long, ctx long, o0 int, o1 int, seen long"
-    out = by_anchor(data).mapInArrow(solve, schema)
-    hot = data.where(F.col("group") > GROUP)
-    cut = scratch(hot.mapInArrow(_split(span, itemsize, block), "anchor1 long, ctx1 long, j0 int, anchor long, ctx long, n long, low_doc long, off int, data binary"), "stretches")
+    blocks = tuple(b for b in blocks if b <= span)
+    sizes = scratch(data.groupBy("anchor").agg(F.count("*").alias("group")).where("group > 1"), "sizes")  # written, so that the join can split an anchor
+    data = data.join(sizes, "anchor")
+    out = scratch(data.where(F.col("group") <= GROUP).select(*NAMES).repartition("anchor").sortWithinPartitions("anchor").mapInArrow(solve, SOLVED), "solved")
+    hot = data.where(F.col("group") > GROUP).select(*NAMES)
+    if not blocks or sizes.where(F.col("group") > GROUP).isEmpty():
+        return out
+    cut = scratch(hot.mapInArrow(_split(span, itemsize, blocks[0]), STRETCHES), "stretches")
     per = cut.groupBy("anchor", "ctx").agg(F.sum("n").alias("n"), F.min("low_doc").alias("low_doc"), F.first("off").alias("off"), F.first("data").alias("data"))
     per = scratch(per, "contents")
-    sizes = scratch(per.groupBy("anchor").agg(F.count("*").alias("group")), "sizes")
-    per = per.join(sizes, "anchor")
-    alone = per.where("group = 1 and n > 1").select("anchor", "ctx", F.lit(0).alias("o0"), (F.length("data") / itemsize - span + 1).cast("int").alias("o1"), F.col("low_doc").alias("seen"))
-    few = by_anchor(per.where("group > 1")).mapInArrow(solve, schema)
-    many = _single_windows(per.where(F.col("group") > GROUP), span, itemsize)
-    found = cut.select("anchor1", "ctx1", "j0", "anchor", "ctx").join(alone.unionByName(few).unionByName(many), ["anchor", "ctx"])
-    return out.unionByName(found.select(F.col("anchor1").alias("anchor"), F.col("ctx1").alias("ctx"), (F.col("o0") + F.col("j0")).alias("o0"), (F.col("o1") + F.col("j0")).alias("o1"), "seen"))
-
-
-def intervals(found: DataFrame) -> DataFrame:
-    """doc_id, tk, a, b -> one row a document with the list of its intervals, which the document's length bounds."""
-    return found.groupBy("doc_id", "tk").agg(F.collect_list(F.struct("a", "b")).alias("cuts"))
+    inner = decide(per, span, itemsize, blocks[1:], solve, whole)
+    found = cut.select("anchor1", "ctx1", "low1", "a", "b", "anchor", "ctx").join(per.select("anchor", "ctx", "n", "low_doc"), ["anchor", "ctx"]).join(inner, ["anchor", "ctx"], "left")
+    cuts = F.when(F.expr(whole), F.array(F.struct("a", "b"))).otherwise(F.transform("cuts", lambda c: F.struct((c["a"] + F.col("a")).alias("a"), (c["b"] + F.col("a")).alias("b"))))
+    found = found.select(F.col("anchor1").alias("anchor"), F.col("ctx1").alias("ctx"), cuts.alias("cuts")).where("cuts is not null")
+    found = scratch(found.groupBy("anchor", "ctx").agg(F.flatten(F.collect_list("cuts")).alias("cuts")), "solved")  # a content's windows bound the list
+    both = scratch(out.unionByName(found), "solved")
+    discard(cut, per, inner, sizes, out, found)
+    return both
+
+
+def repeated(docs: DataFrame, symbols: Callable, span: int, gram: int, itemsize: int, blocks: tuple[int, ...], solve: Callable, earlier: bool, max_bytes: int = 1 << 19) -> DataFrame:
+    """doc_id, tk and cuts: the intervals [a, b) of symbols in windows that start elsewhere too, one row a document.
+
+    earlier: only those that start in a document with a smaller doc_id. docs has doc_id, tk and text.
+    """
+    if not 0 < gram <= span:
+        raise ValueError("gram must not exceed span")
+    runs = all_runs(docs, symbols, span, gram, max_bytes)
+    found = scratch(anchors(runs), "anchors")
+    runs = scratch(candidates(runs, found), "runs")
+    all_of_it = F.array(F.struct(F.col("first").alias("a"), (F.col("last") + span).alias("b")))
+    plain = runs.where("not mixed and low_doc < doc_id" if earlier else "not mixed").select("doc_id", "tk", all_of_it.alias("cuts"))
+    mixed = runs.where("mixed").drop("low_doc", "mixed")
+    per = distinct(mixed)
+    data = contents(docs, per, symbols, span)
+    inner = decide(data, span, itemsize, blocks, solve, "low_doc < low1" if earlier else "n > 1")
+    discard(data)
+    # One row for each content that is decided, and one join row for each run of it.
+    known = scratch(per.select("anchor", "ctx", "n", "low_doc").join(inner, ["anchor", "ctx"], "left").where("n > 1 or cuts is not null"), "decided")
+    part = F.transform("cuts", lambda c: F.struct((c["a"] + F.col("first")).alias("a"), (c["b"] + F.col("first") + (span - 1)).alias("b")))
+    cuts = F.when(F.expr("low_doc < doc_id" if earlier else "n > 1"), all_of_it).otherwise(part)
+    split = mixed.join(known, ["anchor", "ctx"]).select("doc_id", "tk", cuts.alias("cuts")).where("cuts is not null")
+    return plain.unionByName(split).groupBy("doc_id", "tk").agg(F.flatten(F.collect_list("cuts")).alias("cuts"))  # a document's length bounds the list

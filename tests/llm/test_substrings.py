@@ -59,8 +59,9 @@ def bytes_brute(rows, span):
 def test_against_brute_force(spark, monkeypatch, kind, group):
     prepare(spark)
     monkeypatch.setattr(windows, "GROUP", group)
-    monkeypatch.setattr(fm_index, "BLOCK", 3)
-    monkeypatch.setattr(suffix_sort, "BLOCK", 7)
+    monkeypatch.setattr(fm_index, "BLOCKS", (3, 1))
+    monkeypatch.setattr(suffix_sort, "BYTE_BLOCKS", (7, 2, 1))
+    monkeypatch.setattr(suffix_sort, "WORD_BLOCKS", (3, 1))
     rows = rows_of(kind)
     # Further columns may have any name, those used inside too.
     df = spark.createDataFrame([(*r, 1, "x") for r in rows], "doc_id long, text string, tk int, anchor string").repartition(3)
@@ -68,6 +69,33 @@ def test_against_brute_force(spark, monkeypatch, kind, group):
     assert got == words_brute(rows, 10) and sum(r[2] for r in got) > 100
     got = sorted((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in suffix_sort.drop_repeated_strings(df, 40, 12).collect())
     assert got == bytes_brute(rows, 40) and sum(r[2] for r in got) > 100
+    got = sorted((r.doc_id, b" ".join(bytes(r.kept).split()).decode()) for r in suffix_sort.drop_repeated_strings(df, 10, 4, "words", keep_first=True).collect())
+    assert got == [(r[0], r[3]) for r in words_brute(rows, 10)]
+
+
+def test_common_passage_with_different_surroundings(spark, monkeypatch):
+    """One passage in 400 documents: its anchors are cut down to single windows, and nothing is lost."""
+    prepare(spark)
+    monkeypatch.setattr(windows, "GROUP", 16)
+    rng = random.Random(4)
+    word = lambda: f"x{rng.randint(0, 3)}" if rng.random() < 0.3 else f"y{rng.randint(0, 999)}"
+    passage = [f"p{i}" for i in range(14)]
+    rows = [(i, " ".join([*(word() for _ in range(rng.randint(5, 25))), *passage, *(word() for _ in range(rng.randint(5, 25)))])) for i in range(400)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = sorted((r.doc_id, r.n_words, r.n_removed, r.kept) for r in fm_index.drop_repeated_passages(df, 10, 4).collect())
+    assert got == words_brute(rows, 10) and sum(r[2] for r in got) > 399 * 14
+    got = sorted((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in suffix_sort.drop_repeated_strings(df, 40, 12).collect())
+    assert got == bytes_brute(rows, 40)
+
+
+def test_matching_statistics_decide(monkeypatch):
+    """Without them, or with shorter ones, nothing is found."""
+    a, b, c = np.arange(20), np.concatenate((np.arange(5, 18), [40, 41])), np.arange(30, 45)
+    args = ([a, b, c], np.zeros(3, int), np.array([3, 9, 9]), 10)
+    assert [np.flatnonzero(x).tolist() for x in fm_index.seen_earlier(*args)] == [[], [0, 1, 2, 3], []]
+    true = fm_index.FMIndex.matching_statistics
+    monkeypatch.setattr(fm_index.FMIndex, "matching_statistics", lambda self, s: (true(self, s)[0] // 2, *true(self, s)[1:]))
+    assert not any(x.any() for x in fm_index.seen_earlier(*args))
 
 
 def test_empty_table_and_repeated_rows(spark):
