@@ -8,19 +8,28 @@ which a subclass of n tokens only dies with n - k + 1 losses. Documents that lin
 many as the size band has eighths of tokens, which keeps combinations in proportion to the document; a document near the
 edge of its band signs in both.
 
-Documents with equal sets are one class. Groups of equal signatures are compared around one member first, which is one
-pair a row; beyond that, only pairs are compared whose classes are then still in different components and whose bitmaps
-(parities of hashed tokens) don't already differ in too many bits. Each pair is verified on the whole sets of tokens (64-bit hashes of the n-grams).
+Documents with equal sets are one class. Candidates are compared in three steps, each over fewer documents:
+
+1. In each group of equal signatures every member is compared with one pivot, the member that has most signatures in
+   common with others (one pair a row). A family of near copies thereby falls together around its centre. The pivot is
+   then done with its group.
+2. Documents in a group whose other members lie in several components sign again with the longest combinations: all tokens of a
+   class, dealt into more classes than a link can spoil, so that only close sets meet; these groups have pivots too.
+3. In the groups that then still have several components, members of different components are compared with each other.
+
+A pair is verified on the whole sets of tokens (64-bit hashes of the n-grams), unless its bitmaps (parities of hashed
+tokens) already differ in too many bits.
 
 Defined results: null or empty texts have no tokens and link with nothing; rows without a doc_id are left out; rows that
-share a doc_id are one document, whose links are pooled; repeated rows give a row each; other columns are ignored.
+share a doc_id are one document, whose links are pooled; repeated rows give a row each; other columns are ignored; an
+empty table gives no rows.
 """
 
 from __future__ import annotations
 
 from collections import OrderedDict
 from collections.abc import Iterator
-from itertools import combinations
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -28,15 +37,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scrivena.llm._common import chunks, documents, raw, scratch
+from scrivena.llm._common import chunks, discard, documents, hash_words, mix, raw, scratch
 from scrivena.llm.components import components
-from scrivena.llm.windows import gram_hashes, mix
+from scrivena.llm.windows import gram_hashes
 
 BUCKETS = 1 << 21
 #: Tokens whose bucket holds so many times the mean count are taken in pairs, and in triples.
 PAIRS, TRIPLES = 3.0, 30.0
-#: Documents of fewer tokens sign with single tokens only.
-SMALL = 64
 #: 64-bit words of a set's bitmap.
 WORDS = 8
 BITS = [f"b{i}" for i in range(WORDS)]
@@ -44,17 +51,15 @@ BITS = [f"b{i}" for i in range(WORDS)]
 
 def token_sets(texts: list[bytes], n: int) -> list[np.ndarray]:
     """Sorted distinct hashes of the n-grams of each text's words, A-Z lower-cased; fewer words are one n-gram."""
-    words = [t.lower().split() for t in texts]
-    sizes = [len(w) for w in words]
-    digest = xxhash.xxh3_64_intdigest
-    flat = np.fromiter((digest(x) for w in words for x in w), np.uint64, sum(sizes))
+    flat, sizes = hash_words(texts, lower=True)
     grams = gram_hashes(flat, n) if len(flat) else flat
     out, at = [], 0
-    for w, k in zip(words, sizes):
+    for k in sizes.tolist():
         if k >= n:
-            out.append(np.unique(grams[at : at + k - n + 1]))
+            x = np.sort(grams[at : at + k - n + 1])
+            out.append(x[np.concatenate(([True], x[1:] != x[:-1]))])
         else:
-            out.append(np.array([xxhash.xxh3_64_intdigest(b" ".join(w), seed=1 + k)], np.uint64) if k else np.zeros(0, np.uint64))
+            out.append(mix(gram_hashes(flat[at : at + k], k)[:1] + np.uint64(k)) if k else np.zeros(0, np.uint64))
         at += k
     return out
 
@@ -71,6 +76,13 @@ def least_linked(num: int, den: int) -> int:
     return -(-num // (den - num)) if num < den else 1 << 60
 
 
+def _holds_back(band: int, num: int, den: int) -> bool:
+    """Whether subclasses could hold back so many tokens of the band's smallest set that its prefix is too short. All sets
+    of the band then sign with single tokens; this needs thresholds far below 0.8."""
+    s = max(-(-(1 << band - 1) * num // den), least_linked(num, den))
+    return -(-num * s // den) <= max(1, (1 << band) >> 4) + 2 * max(1, (1 << band) >> 5)
+
+
 def signatures(tokens: np.ndarray, counts: np.ndarray, mean: float, num: int, den: int) -> np.ndarray:
     """Signatures of a set; counts are those of the tokens' buckets."""
     s = len(tokens)
@@ -79,31 +91,77 @@ def signatures(tokens: np.ndarray, counts: np.ndarray, mean: float, num: int, de
     order = np.lexsort((tokens, counts))
     tokens, counts = tokens[order], counts[order]
     need = s - -(-num * s // den) + 1
+    single = int(np.searchsorted(counts, PAIRS * mean))
     out = []
     for band in {s.bit_length(), (s * den // num).bit_length()}:
         salt = np.uint64(band * 0xC2B2AE3D27D4EB4F & (1 << 64) - 1)
-        single = s if band <= SMALL.bit_length() else int(np.searchsorted(counts, PAIRS * mean))
-        if single >= need:
+        if single >= need or _holds_back(band, num, den):
             out.append(mix(tokens[:need] ^ salt))
             continue
         out.append(mix(tokens[:single] ^ salt))
-        gain, parts = single, {}
-        many = max(1, (1 << band) >> 4)
-        for t, c in zip(tokens[single:].tolist(), counts[single:].tolist()):
-            k = 2 if c < TRIPLES * mean else 3
-            mine = parts.setdefault((k, (t >> 20) % (many if k == 2 else max(1, many // 2))), [])
-            mine.append(t)
-            gain += len(mine) >= k
-            if gain >= need:
-                break
-        else:
-            raise AssertionError("a prefix is too short")
-        combos = [c for (k, _), mine in sorted(parts.items()) for c in combinations(mine, k)]
-        h = np.fromiter((xxhash.xxh3_64_intdigest(np.array(c, np.uint64).tobytes(), seed=band) for c in combos), np.uint64, len(combos))
-        out.append(h)
+        t, k = tokens[single:], np.where(counts[single:] < TRIPLES * mean, 2, 3)
+        many = np.where(k == 2, max(1, (1 << band) >> 4), max(1, (1 << band) >> 5)).astype(np.uint64)
+        part = ((t >> np.uint64(20)) % many).astype(np.int64) * 4 + k
+        by = np.argsort(part, kind="stable")
+        starts = np.flatnonzero(np.concatenate(([True], np.diff(part[by]) != 0)))
+        nth = np.empty(len(t), np.int64)  # of its subclass, in the order of the prefix
+        nth[by] = np.arange(len(t)) - np.repeat(starts, np.diff(np.append(starts, len(t))))
+        gain = np.cumsum(nth + 1 >= k)
+        stop = int(np.searchsorted(gain, need - single)) + 1
+        out += _combinations(mix(t[:stop] ^ salt), part[:stop], k[:stop])
     return np.unique(np.concatenate(out))
 
 
+def _combinations(h: np.ndarray, part: np.ndarray, k: np.ndarray) -> list[np.ndarray]:
+    """Hashes of all pairs and triples inside the parts; a sum doesn't depend on the order."""
+    by = np.argsort(part, kind="stable")
+    h, part, k = h[by], part[by], k[by]
+    out, far = [], 1
+    while far < len(h) and (same := part[far:] == part[:-far]).any():
+        i = np.flatnonzero(same)
+        two = i[k[i] == 2]
+        out.append(mix(h[two] + h[two + far]))
+        three, last = i[k[i] == 3], far + 1
+        while len(three := three[three + last < len(h)]) and len(three := three[part[three + last] == part[three]]):
+            out.append(mix(h[three] + h[three + far] + h[three + last] + np.uint64(3)))
+            last += 1
+        far += 1
+    return out
+
+
+@lru_cache(maxsize=4)
+def bands(num: int, den: int) -> list[int]:
+    """First sizes of bands; sets that link lie in one band or in neighbouring ones."""
+    out = [1]
+    while out[-1] < 1 << 40:
+        out.append(max(out[-1] + 1, -(-out[-1] * den // num)))
+    return out
+
+
+def lengthened(tokens: np.ndarray, num: int, den: int) -> np.ndarray:
+    """Signatures of whole classes: all tokens are dealt into more classes than a link can spoil, and each class is one.
+
+    Classes without tokens are left out where so few are empty that another one is left in common.
+    """
+    s, first = len(tokens), bands(num, den)
+    own, out = int(np.searchsorted(first, s, side="right")) - 1, []
+    for j in (own - 1, own):
+        if j < 0:
+            continue
+        spoilt = (den - num) * 2 * (first[j + 2] - 1) // (den + num)
+        many = spoilt + 1 + spoilt // 4
+        salt = np.uint64((j + 1) * 0x9E3779B97F4A7C15 & (1 << 64) - 1)
+        h = mix(tokens ^ salt)
+        part = ((h >> np.uint64(33)) % np.uint64(many)).astype(np.int64)
+        sums = np.zeros(many, np.uint64)
+        np.add.at(sums, part, mix(h))
+        full = np.bincount(part, minlength=many) > 0
+        if many - int(full.sum()) >= many - spoilt:
+            full[:] = True
+        out.append(mix(sums + mix(np.arange(many, dtype=np.uint64) ^ salt))[full])
+    return np.concatenate(out)
+
+
 def _count(n: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(BUCKETS, np.int64)  # of this task
@@ -135,19 +193,27 @@ def _sign(n: int, counts, num: int, den: int):
         table = counts.value
         mean = float(table.mean())
         for part in chunks(batches):
-            sigs, cks, ns = [], [], []
+            sigs, cks = [], []
             for x in token_sets(raw(part), n):
                 s = signatures(x, table[(x & np.uint64(BUCKETS - 1)).astype(np.int64)], mean, num, den)
                 if len(s):
                     sigs.append(s)
                     cks.append(xxhash.xxh3_64_intdigest(x.tobytes()))
-                    ns.append(len(x))
             if sigs:
                 per = [len(s) for s in sigs]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(sigs).view(np.int64)), pa.array(np.repeat(np.array(cks, np.uint64).view(np.int64), per)), pa.array(np.repeat(np.array(ns, np.int32), per))],
-                    names=["sig", "ck", "n"],
-                )
+                cks = np.repeat(np.array(cks, np.uint64).view(np.int64), per)
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(sigs).view(np.int64)), pa.array(cks)], names=["sig", "ck"])
+
+    return run
+
+
+def _lengthen(n: int, num: int, den: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in chunks(batches):
+            sigs = [lengthened(x, num, den) for x in token_sets(raw(part), n)]
+            per = [len(x) for x in sigs]
+            ck = np.repeat(part.column("ck").to_numpy(), per)
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(sigs).view(np.int64)), pa.array(ck)], names=["sig", "ck"])
 
     return run
 
@@ -191,37 +257,80 @@ def join(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100) -> DataFram
     rows = docs.mapInArrow(_count(n), "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()  # BUCKETS rows at most
     sketch[rows.column("bucket").to_numpy()] = np.minimum(rows.column("n").to_numpy(), 1 << 30)
     counts = spark.sparkContext.broadcast(sketch)
-    sigs = docs.mapInArrow(_sign(n, counts, num, den), "sig long, ck long, n int")
-    groups = sigs.groupBy("sig").agg(F.min(F.struct("ck", "n")).alias("p"), F.max("ck").alias("m")).where("p.ck != m")
-    groups = scratch(groups.select("sig", F.col("p.ck").alias("pivot"), F.col("p.n").alias("pn")), "groups")
-    members = scratch(sigs.join(groups, "sig").where("ck != pivot").dropDuplicates(["sig", "ck"]), "members")
-    near = f"{den} * least({{0}}, {{1}}) >= {num} * greatest({{0}}, {{1}})"
-    first = members.where(near.format("n", "pn")).select(F.least("ck", "pivot").alias("a"), F.greatest("ck", "pivot").alias("b")).dropDuplicates()
-    first = scratch(first, "pairs")
-
-    def links(pairs: DataFrame) -> DataFrame:
-        wanted = pairs.select("a").union(pairs.select("b")).dropDuplicates().withColumnRenamed("a", "ck")
-        rep = keys.join(wanted, "ck").groupBy("ck").agg(F.min(F.struct("doc_id", "tk")).alias("r")).select("ck", "r.*")
-        texts = scratch(docs.join(rep, ["doc_id", "tk"]).select("ck", "text").dropDuplicates(["ck"]), "texts")
-        both = pairs.join(texts.select(F.col("ck").alias("b"), F.col("text").alias("t")), "b").join(texts.select(F.col("ck").alias("a"), F.col("text").alias("s")), "a")
-        return scratch(both.select("a", "b", "s", "t").mapInArrow(_verify(n, num, den), "u long, v long"), "links")
-
-    found = links(first)
-    # Members of a group that are in one component need no more comparing; nor do pairs that were compared.
-    part = components(found)
-    apart = members.join(part, members.ck == part.node, "left").select("sig", "ck", "n", F.coalesce("component", "ck").alias("c"))
-    apart = scratch(apart, "apart")
-    mixed = apart.groupBy("sig").agg(F.min("c").alias("x"), F.max("c").alias("y")).where("x != y").select("sig")
-    bits = keys.select("ck", *BITS).join(members.select("ck").dropDuplicates(), "ck", "left_semi").dropDuplicates(["ck"])
-    apart = apart.join(scratch(mixed, "mixed"), "sig").join(scratch(bits, "bits"), "ck")
-    apart = scratch(apart, "apart")
+    sigs = docs.mapInArrow(_sign(n, counts, num, den), "sig long, ck long")
+    groups = sigs.groupBy("sig").agg(F.min("ck").alias("p"), F.max("ck").alias("q")).where("p != q").select("sig")
+    members = scratch(sigs.join(scratch(groups, "groups"), "sig").dropDuplicates(["sig", "ck"]), "members")
+    known = keys.join(members.select("ck").dropDuplicates(), "ck", "left_semi")
+    known = scratch(known.groupBy("ck").agg(F.min(F.struct("doc_id", "tk")).alias("r"), *(F.min(c).alias(c) for c in ("n", *BITS))).select("ck", "r.*", "n", *BITS), "classes")
+
+    texts = scratch(docs.join(known.select("ck", "doc_id", "tk"), ["doc_id", "tk"]).select("ck", "text").dropDuplicates(["ck"]), "texts")
+
+    others = _pivoted(members)
+    discard(members)
+    first = _close(others, known, num, den)
+    links = _links(texts, first, n, num, den)
+
+    apart = _apart(others, components(links))
+    still = scratch(apart.select("ck").dropDuplicates(), "open")
+    discard(others)
+    longer = texts.join(still, "ck").mapInArrow(_lengthen(n, num, den), "sig long, ck long")
+    groups = longer.groupBy("sig").agg(F.min("ck").alias("p"), F.max("ck").alias("q")).where("p != q").select("sig")
+    members = scratch(longer.join(scratch(groups, "groups"), "sig"), "members")
+    others = _pivoted(members)
+    discard(members)
+    more = scratch(_close(others, known, num, den).join(first, ["a", "b"], "left_anti"), "pairs")
+    links = links.union(_links(texts, more, n, num, den))
+
+    apart = scratch(_apart(others, components(links)).join(known.select("ck", "n", *BITS), "ck"), "apart")
+    discard(others)
     x, y = (apart.select("sig", F.col("ck").alias(k), F.col("n").alias(f"n{k}"), F.col("c").alias(f"c{k}"), *(F.col(v).alias(f"{v}{k}") for v in BITS)) for k in ("a", "b"))
+    rest = x.join(y, "sig").where("a < b and ca != cb").where(_may_link(num, den)).select("a", "b").dropDuplicates()
+    rest = scratch(rest.join(first.union(more), ["a", "b"], "left_anti"), "pairs")
+    links = links.union(_links(texts, rest, n, num, den))
+    discard(apart, texts)
+    return _result(keys, components(links))
+
+
+def _pivoted(members: DataFrame) -> DataFrame:
+    """sig, ck, pivot: the members of each group without its pivot, the member that is in most groups."""
+    rank = scratch(members.groupBy("ck").agg(F.count("*").alias("groups")), "ranks")
+    ranked = scratch(members.join(rank, "ck"), "ranked")
+    pivot = scratch(ranked.groupBy("sig").agg(F.max(F.struct("groups", "ck")).alias("p")).select("sig", F.col("p.ck").alias("pivot")), "pivots")
+    out = scratch(ranked.join(pivot, "sig").where("ck != pivot").select("sig", "ck", "pivot"), "others")
+    discard(rank, ranked, pivot)
+    return out
+
+
+def _may_link(num: int, den: int) -> str:
+    """What sizes (na, nb) and bitmaps don't rule out."""
     differ = " + ".join(f"bit_count({v}a ^ {v}b)" for v in BITS)
-    close = f"{den + num} * ({differ}) <= {den - num} * (na + nb)"
-    more = x.join(y, "sig").where("a < b and ca != cb").where(near.format("na", "nb")).where(close).select("a", "b").dropDuplicates()
-    more = scratch(more.join(first, ["a", "b"], "left_anti"), "pairs")
-    part = components(found.union(links(more)))
-    return _result(keys, part)
+    return f"{den} * least(na, nb) >= {num} * greatest(na, nb) and {den + num} * ({differ}) <= {den - num} * (na + nb)"
+
+
+def _close(others: DataFrame, known: DataFrame, num: int, den: int) -> DataFrame:
+    """a < b: pairs of a member and its pivot that may link."""
+    pairs = others.select(F.least("ck", "pivot").alias("a"), F.greatest("ck", "pivot").alias("b")).dropDuplicates()
+    for k in ("a", "b"):
+        pairs = pairs.join(known.select(F.col("ck").alias(k), F.col("n").alias(f"n{k}"), *(F.col(v).alias(f"{v}{k}") for v in BITS)), k)
+    return scratch(pairs.where(_may_link(num, den)).select("a", "b"), "pairs")
+
+
+def _links(texts: DataFrame, pairs: DataFrame, n: int, num: int, den: int) -> DataFrame:
+    """u, v: the pairs that link, by their whole texts."""
+    wanted = pairs.select(F.col("a").alias("ck")).union(pairs.select("b")).dropDuplicates()
+    own = scratch(texts.join(wanted, "ck"), "compared")
+    both = pairs.join(own.select(F.col("ck").alias("b"), F.col("text").alias("t")), "b").join(own.select(F.col("ck").alias("a"), F.col("text").alias("s")), "a")
+    out = scratch(both.select("a", "b", "s", "t").mapInArrow(_verify(n, num, den), "u long, v long"), "links")
+    discard(own)
+    return out
+
+
+def _apart(others: DataFrame, part: DataFrame) -> DataFrame:
+    """sig, ck, c (component) of the groups whose members besides the pivot lie in several components."""
+    rows = others.join(part, others.ck == part.node, "left").select("sig", "ck", F.coalesce("component", "ck").alias("c"))
+    rows = scratch(rows, "apart")
+    mixed = rows.groupBy("sig").agg(F.min("c").alias("x"), F.max("c").alias("y")).where("x != y").select("sig")
+    return rows.join(scratch(mixed, "mixed"), "sig")
 
 
 def _result(keys: DataFrame, part: DataFrame) -> DataFrame:

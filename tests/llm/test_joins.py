@@ -50,13 +50,12 @@ def join_brute(rows, n, num, den):
     return sorted((d, len(sets[i]), low[root[i]]) for i, (d, _) in enumerate(rows))
 
 
-@pytest.mark.parametrize(("n", "num", "small"), [(3, 90, 64), (5, 80, 8)])
-def test_ngram_join(spark, monkeypatch, n, num, small):
+@pytest.mark.parametrize(("n", "num"), [(3, 90), (5, 80), (2, 60)])
+def test_ngram_join(spark, monkeypatch, n, num):
+    """Components against all pairs; repeated rows, equal ids, nulls and clashing names are among them."""
     prepare(spark)
-    if small == 8:  # combinations for all tokens
-        monkeypatch.setattr(ngram_join, "PAIRS", 0.0)
-        monkeypatch.setattr(ngram_join, "TRIPLES", 1.0)
-        monkeypatch.setattr(ngram_join, "SMALL", 8)
+    monkeypatch.setattr(ngram_join, "PAIRS", 0.5)
+    monkeypatch.setattr(ngram_join, "TRIPLES", 2.0)
     rng = random.Random(3)
     words = [f"w{i}" for i in range(300)]
     base = [[rng.choice(words) for _ in range(rng.choice([5, 12, 30, 100, 400]))] for _ in range(20)]
@@ -88,6 +87,47 @@ def test_signatures_are_shared():
         assert len(np.intersect1d(a, b))
 
 
+def test_lengthened_signatures_are_shared():
+    rng = np.random.default_rng(2)
+    for num in (60, 80, 90):
+        for _ in range(200):
+            s = int(rng.integers(4, 300))
+            x = np.unique(rng.integers(0, 1 << 62, s).astype(np.uint64))
+            k = int(rng.integers(0, max(1, len(x) * (100 - num) // 90) + 1))
+            y = np.unique(np.concatenate((x[k // 2 :], rng.integers(0, 1 << 62, k - k // 2).astype(np.uint64))))
+            both = len(np.intersect1d(x, y))
+            if 100 * both >= num * (len(x) + len(y) - both):
+                assert len(np.intersect1d(ngram_join.lengthened(x, num, 100), ngram_join.lengthened(y, num, 100)))
+
+
+def test_ngram_join_large_group(spark):
+    """Three thousand variants of one text, most of them too far apart to link, lose no link; few pairs are made."""
+    prepare(spark)
+    rng = random.Random(8)
+    base = [f"b{i}" for i in range(60)]
+    rows = []
+    for i in range(3000):
+        w = list(base)
+        for k in rng.sample(range(60), rng.choice([1, 4, 5, 6, 7])):
+            w[k] = f"e{rng.randint(0, 9)}"
+        rows.append((i + 1, " ".join(w)))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = {r.doc_id: r.component_id for r in ngram_join.join(df, 1, 90, 100).collect()}
+    sets = [set(t.split()) for _, t in rows]
+    number = {w: i for i, w in enumerate(sorted(set().union(*sets)))}
+    x = np.zeros((len(rows), len(number)), np.float32)
+    for i, z in enumerate(sets):
+        x[i, [number[w] for w in z]] = 1
+    both, size = x @ x.T, x.sum(1)
+    links = [(int(i), int(j)) for i, j in zip(*np.nonzero(100 * both >= 90 * (size[:, None] + size[None, :] - both))) if i < j]
+    root = groups(len(rows), links)
+    low: dict = {}
+    for i, r in enumerate(rows):
+        low[root[i]] = min(low.get(root[i], r[0]), r[0])
+    assert got == {r[0]: low[root[i]] for i, r in enumerate(rows)}
+    assert 1000 < len(set(got.values())) < 2999
+
+
 def test_ngram_join_empty(spark):
     assert ngram_join.join(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
