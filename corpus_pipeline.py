@@ -2,29 +2,43 @@
 
 STAGES names the stages in order; each function takes (spark, docs, sf_dir) and returns a DataFrame, which is written as
 Parquet and read again as the next one's docs. All but the last return the columns of documents.
+
+Defined results of every stage: null and empty texts are judged as empty; rows that share doc_id and text are copies of one
+document and share its fate; rows without a doc_id go in the first stage, as no result can name them; an empty table
+gives no rows; other columns go along unchanged, whatever their names.
 """
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scrivena.llm import ngram_join, packing, quality, suffix_sort, toxicity
-from scrivena.llm._common import prepare, read, shared_dir
+from scrivena.llm._common import discard, prepare, read, scratch
+
+#: Words of a passage, and of the grams that anchor it.
+PASSAGE, PASSAGE_GRAM = 50, 16
 
 
-def _rows(docs: DataFrame) -> DataFrame:
-    """docs as they are, with the keys that the operators' results come with."""
+def _free(docs: DataFrame, name: str) -> str:
+    """The name, with underscores before it until docs has no such column."""
+    taken = {c.lower() for c in docs.columns}
+    while name in taken:
+        name = "_" + name
+    return name
+
+
+def _matched(docs: DataFrame, found: DataFrame, how: str) -> DataFrame:
+    """docs joined with an operator's results by doc_id and the text's hash; `found` brings columns that docs has not."""
     prepare(docs.sparkSession)
-    return docs.where("doc_id is not null").withColumn("_id", F.col("doc_id").cast("long")).withColumn("_tk", F.xxhash64(F.col("text").cast("string")))
+    key, tk = _free(docs, "_id"), _free(docs, "_tk")
+    rows = docs.where("doc_id is not null").withColumn(key, F.col("doc_id").cast("long")).withColumn(tk, F.xxhash64(F.col("text").cast("string")))
+    return rows.join(found.withColumnsRenamed({"doc_id": key, "tk": tk}), [key, tk], how).drop(key, tk)
 
 
 def _filtered(docs: DataFrame, scores: DataFrame, keep: str) -> DataFrame:
-    """The rows of docs whose scores fulfil `keep`. Scores come by key; their columns' names don't meet those of docs."""
-    kept = scores.where(keep).select(F.col("doc_id").alias("_id"), F.col("tk").alias("_tk")).dropDuplicates()
-    return _rows(docs).join(kept, ["_id", "_tk"], "left_semi").drop("_id", "_tk")
+    """The rows of docs whose scores fulfil `keep`."""
+    return _matched(docs, scores.where(keep).select("doc_id", "tk"), "left_semi")
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,23 +53,25 @@ def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents linked by five-word shingles with a similarity of 0.8 or more, the one with the least doc_id stays.
-    Of rows that share it, the one with the least text hash stays."""
+    Rows that share a doc_id are one document, of which the row with the least text hash stays."""
     prepare(spark)
     found = ngram_join.join(docs, 5, 80, 100).where("doc_id = component_id")
-    kept = found.groupBy("doc_id").agg(F.min("tk").alias("tk"))
-    out = _rows(docs).join(kept.select(F.col("doc_id").alias("_id"), F.col("tk").alias("_tk")), ["_id", "_tk"], "left_semi")
-    return out.dropDuplicates(["_id"]).drop("_id", "_tk")
+    return _matched(docs, found.groupBy("doc_id").agg(F.min("tk").alias("tk")), "left_semi").dropDuplicates(["doc_id"])
 
 
 def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Bytes of 400-byte strings that start anywhere else go; characters that a cut breaks go too. The text and its
-    n_chars are what is left."""
+    """Words of passages of PASSAGE words that also start in a document with a smaller doc_id go, each with the space after
+    it; the first copy stays. The text and its n_chars are what is left, which may be nothing; rows stay.
+
+    The operator's 400 bytes are some 60 to 70 words, and would miss passages of little more than 50.
+    """
     prepare(spark)
-    found = suffix_sort.drop_repeated_strings(docs).where("n_removed > 0")
-    found = found.select(F.col("doc_id").alias("_id"), F.col("tk").alias("_tk"), F.regexp_replace(F.try_validate_utf8(F.make_valid_utf8(F.col("kept").cast("string"))), "�", "").alias("_kept")).dropDuplicates(["_id", "_tk"])
-    out = _rows(docs).join(found, ["_id", "_tk"], "left")
-    cut = F.col("_kept").isNotNull()
-    return out.select(*[F.when(cut, F.col("_kept")).otherwise(F.col("text")).alias("text") if c == "text" else F.when(cut, F.char_length("_kept").cast("long")).otherwise(F.col(c)).alias(c) if c == "n_chars" else F.col(c) for c in docs.columns])
+    left = _free(docs, "_kept")
+    found = suffix_sort.drop_repeated_strings(docs, PASSAGE, PASSAGE_GRAM, "words", keep_first=True).where("n_removed > 0")
+    found = found.select("doc_id", "tk", F.col("kept").cast("string").alias(left)).dropDuplicates(["doc_id", "tk"])
+    new = {"text": F.col(left), "n_chars": F.char_length(left).cast("long")}
+    out = _matched(docs, found, "left")
+    return out.select(*(F.when(F.col(left).isNotNull(), new[c]).otherwise(F.col(c)).alias(c) if c in new else F.col(f"`{c}`") for c in docs.columns))
 
 
 def sequence_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -72,15 +88,17 @@ STAGES = [
     ("packing", sequence_packing),
 ]
 
-#: Learned scores and tokenization aren't SQL; tests compare the stages with brute force.
+#: Learned scores and tokenization aren't SQL; tests/llm/test_pipeline.py compares the stages and run() with brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages one after the other over documents."""
+    """The stages one after the other over documents. A stage's table goes when the next one is written, the last one when
+    the driver's process ends."""
     docs = read(spark, sf_dir, "documents")
-    for name, stage in STAGES[:-1]:
-        path = f"{shared_dir(spark)}/scrivena/pipeline-{name.replace(' ', '-')}-{uuid.uuid4().hex}"
-        stage(spark, docs, sf_dir).write.option("compression", "zstd").parquet(path)
-        docs = spark.read.parquet(path)
+    for i, (name, stage) in enumerate(STAGES[:-1]):
+        kept = scratch(stage(spark, docs, sf_dir), f"pipeline-{name.replace(' ', '-')}")
+        if i:
+            discard(docs)
+        docs = kept
     return STAGES[-1][1](spark, docs, sf_dir)
