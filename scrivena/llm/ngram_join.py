@@ -4,9 +4,10 @@ A document's tokens are its distinct word n-grams. Counts of all documents' toke
 give one global order, rare first. With s tokens and `e` of them allowed to miss, a document's prefix is extended until
 e losses cannot destroy all of its signatures: each rare token is a signature by itself; frequent tokens are dealt into
 subclasses by hash, and in each subclass every combination of k of them is one (k = 2, or 3 for very frequent ones), of
-which a subclass of n tokens only dies with n - k + 1 losses. Documents that link share a signature. Subclasses are as
-many as the size band has eighths of tokens, which keeps combinations in proportion to the document; a document near the
-edge of its band signs in both.
+which a subclass of n tokens only dies with n - k + 1 losses. Documents that link share a signature. Subclasses are one
+for 16 tokens of the size band (32 for triples), which keeps combinations in proportion to the document; a document near the
+edge of its band signs in both. What is rare, frequent or very frequent goes by how many documents would share a signature
+by chance, so that chance groups stay in proportion to the table.
 
 Documents with equal sets are one class. Candidates are compared in three steps, each over fewer documents:
 
@@ -42,8 +43,11 @@ from scrivena.llm.components import components
 from scrivena.llm.windows import gram_hashes
 
 BUCKETS = 1 << 21
-#: Tokens whose bucket holds so many times the mean count are taken in pairs, and in triples.
-PAIRS, TRIPLES = 3.0, 30.0
+#: A token whose bucket counts RARE at most signs by itself; others sign in pairs, and in triples where pairs would still
+#: meet by chance: where the square of the count exceeds CHANCE times the number of documents.
+RARE, CHANCE = 4, 0.25
+#: Bits of a filter that thins out rows before they are shuffled; as it fills up it only lets more rows pass.
+FILTER = 1 << 27
 #: 64-bit words of a set's bitmap.
 WORDS = 8
 BITS = [f"b{i}" for i in range(WORDS)]
@@ -83,15 +87,15 @@ def _holds_back(band: int, num: int, den: int) -> bool:
     return -(-num * s // den) <= max(1, (1 << band) >> 4) + 2 * max(1, (1 << band) >> 5)
 
 
-def signatures(tokens: np.ndarray, counts: np.ndarray, mean: float, num: int, den: int) -> np.ndarray:
-    """Signatures of a set; counts are those of the tokens' buckets."""
+def signatures(tokens: np.ndarray, counts: np.ndarray, total: int, num: int, den: int) -> np.ndarray:
+    """Signatures of a set; counts are those of the tokens' buckets, total is the number of documents."""
     s = len(tokens)
     if s < least_linked(num, den):
         return np.zeros(0, np.uint64)
     order = np.lexsort((tokens, counts))
     tokens, counts = tokens[order], counts[order]
     need = s - -(-num * s // den) + 1
-    single = int(np.searchsorted(counts, PAIRS * mean))
+    single = int(np.searchsorted(counts, RARE, side="right"))
     out = []
     for band in {s.bit_length(), (s * den // num).bit_length()}:
         salt = np.uint64(band * 0xC2B2AE3D27D4EB4F & (1 << 64) - 1)
@@ -99,7 +103,7 @@ def signatures(tokens: np.ndarray, counts: np.ndarray, mean: float, num: int, de
             out.append(mix(tokens[:need] ^ salt))
             continue
         out.append(mix(tokens[:single] ^ salt))
-        t, k = tokens[single:], np.where(counts[single:] < TRIPLES * mean, 2, 3)
+        t, k = tokens[single:], np.where(counts[single:].astype(np.float64) ** 2 <= CHANCE * total, 2, 3)
         many = np.where(k == 2, max(1, (1 << band) >> 4), max(1, (1 << band) >> 5)).astype(np.uint64)
         part = ((t >> np.uint64(20)) % many).astype(np.int64) * 4 + k
         by = np.argsort(part, kind="stable")
@@ -188,17 +192,67 @@ def _keys(n: int):
     return run
 
 
-def _sign(n: int, counts, num: int, den: int):
+def _filter(df: DataFrame, column: str):
+    """A filter of FILTER bits that holds the hashes in a column, broadcast: 16 MB, whatever the size of df."""
+    at = f"(shiftrightunsigned({column}, 20) & {FILTER - 1}L)"
+    words = df.selectExpr(f"cast(shiftright({at}, 6) as int) as word", f"shiftleft(1L, cast({at} & 63L as int)) as mask")
+    rows = words.groupBy("word").agg(F.bit_or("mask").alias("mask")).toArrow()  # FILTER / 64 rows at most
+    bits = np.zeros(FILTER >> 6, np.int64)
+    bits[rows.column("word").to_numpy()] = rows.column("mask").to_numpy()
+    return df.sparkSession.sparkContext.broadcast(bits.view(np.uint64))
+
+
+def _passes(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Which hashes a filter may hold."""
+    at = (hashes >> np.uint64(20)) & np.uint64(FILTER - 1)
+    return (bits[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63)) & np.uint64(1)).astype(bool)
+
+
+def _wanted(bits):
+    """The rows whose tk a filter may hold; of rows that share doc_id and text, one a task."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = counts.value
-        mean = float(table.mean())
+        seen = set()
+        for batch in batches:
+            rows = np.flatnonzero(_passes(bits.value, batch.column("tk").to_numpy().view(np.uint64))).tolist()
+            ids, tks = batch.column("doc_id"), batch.column("tk")
+            keep = []
+            for i in rows:
+                key = ids[i].as_py(), tks[i].as_py()
+                if key not in seen:
+                    seen.add(key)
+                    keep.append(i)
+            if keep:
+                yield batch.take(pa.array(keep))
+
+    return run
+
+
+def _texts(docs: DataFrame, known: DataFrame, wanted: DataFrame) -> DataFrame:
+    """ck, text: one text for each class in wanted. Only rows that a filter lets pass are shuffled."""
+    own = scratch(known.join(wanted, "ck", "left_semi").select("ck", "doc_id", "tk"), "wanted")
+    rows = docs.mapInArrow(_wanted(_filter(own, "tk")), "doc_id long, text string, tk long")
+    return scratch(rows.dropDuplicates(["doc_id", "tk"]).join(own, ["doc_id", "tk"]).select("ck", "text"), "texts")
+
+
+def _sign(n: int, counts, total: int, num: int, den: int, bits=None):
+    """Signatures of the documents, of equal sets once a task; with bits, only those that this filter may hold."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table, seen = counts.value, set()
         for part in chunks(batches):
             sigs, cks = [], []
             for x in token_sets(raw(part), n):
-                s = signatures(x, table[(x & np.uint64(BUCKETS - 1)).astype(np.int64)], mean, num, den)
+                ck = xxhash.xxh3_64_intdigest(x.tobytes())
+                if ck in seen:
+                    continue
+                seen.add(ck)
+                s = signatures(x, table[(x & np.uint64(BUCKETS - 1)).astype(np.int64)], total, num, den)
+                if bits is not None:
+                    s = s[_passes(bits.value, s)]
                 if len(s):
                     sigs.append(s)
-                    cks.append(xxhash.xxh3_64_intdigest(x.tobytes()))
+                    cks.append(ck)
             if sigs:
                 per = [len(s) for s in sigs]
                 cks = np.repeat(np.array(cks, np.uint64).view(np.int64), per)
@@ -257,23 +311,27 @@ def join(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100) -> DataFram
     rows = docs.mapInArrow(_count(n), "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()  # BUCKETS rows at most
     sketch[rows.column("bucket").to_numpy()] = np.minimum(rows.column("n").to_numpy(), 1 << 30)
     counts = spark.sparkContext.broadcast(sketch)
-    sigs = docs.mapInArrow(_sign(n, counts, num, den), "sig long, ck long")
-    groups = sigs.groupBy("sig").agg(F.min("ck").alias("p"), F.max("ck").alias("q")).where("p != q").select("sig")
-    members = scratch(sigs.join(scratch(groups, "groups"), "sig").dropDuplicates(["sig", "ck"]), "members")
+    total = keys.count()
+    sigs = docs.mapInArrow(_sign(n, counts, total, num, den), "sig long, ck long")
+    groups = scratch(sigs.groupBy("sig").agg(F.min("ck").alias("p"), F.max("ck").alias("q")).where("p != q").select("sig"), "groups")
+    sigs = docs.mapInArrow(_sign(n, counts, total, num, den, _filter(groups, "sig")), "sig long, ck long")
+    members = scratch(sigs.join(groups, "sig").dropDuplicates(["sig", "ck"]), "members")
+    discard(groups)
     known = keys.join(members.select("ck").dropDuplicates(), "ck", "left_semi")
     known = scratch(known.groupBy("ck").agg(F.min(F.struct("doc_id", "tk")).alias("r"), *(F.min(c).alias(c) for c in ("n", *BITS))).select("ck", "r.*", "n", *BITS), "classes")
 
-    texts = scratch(docs.join(known.select("ck", "doc_id", "tk"), ["doc_id", "tk"]).select("ck", "text").dropDuplicates(["ck"]), "texts")
-
     others = _pivoted(members)
     discard(members)
     first = _close(others, known, num, den)
+    texts = _texts(docs, known, first.select(F.col("a").alias("ck")).union(first.select("b")).dropDuplicates())
     links = _links(texts, first, n, num, den)
+    discard(texts)
 
     apart = _apart(others, components(links))
     still = scratch(apart.select("ck").dropDuplicates(), "open")
     discard(others)
-    longer = texts.join(still, "ck").mapInArrow(_lengthen(n, num, den), "sig long, ck long")
+    texts = _texts(docs, known, still)  # of all that later pairs can hold
+    longer = texts.mapInArrow(_lengthen(n, num, den), "sig long, ck long")
     groups = longer.groupBy("sig").agg(F.min("ck").alias("p"), F.max("ck").alias("q")).where("p != q").select("sig")
     members = scratch(longer.join(scratch(groups, "groups"), "sig"), "members")
     others = _pivoted(members)

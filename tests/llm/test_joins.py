@@ -54,8 +54,8 @@ def join_brute(rows, n, num, den):
 def test_ngram_join(spark, monkeypatch, n, num):
     """Components against all pairs; repeated rows, equal ids, nulls and clashing names are among them."""
     prepare(spark)
-    monkeypatch.setattr(ngram_join, "PAIRS", 0.5)
-    monkeypatch.setattr(ngram_join, "TRIPLES", 2.0)
+    monkeypatch.setattr(ngram_join, "RARE", 2)  # so that single tokens, pairs and triples all occur in a small table
+    monkeypatch.setattr(ngram_join, "CHANCE", 0.3)
     rng = random.Random(3)
     words = [f"w{i}" for i in range(300)]
     base = [[rng.choice(words) for _ in range(rng.choice([5, 12, 30, 100, 400]))] for _ in range(20)]
@@ -83,10 +83,20 @@ def test_signatures_are_shared():
         if 100 * both < 90 * (len(x) + len(y) - both) or len(x) == both == len(y):
             continue
         count = lambda z: (z % np.uint64(97)).astype(np.int64)
-        a, b = (ngram_join.signatures(z, count(z), 8.0, 90, 100) for z in (x, y))
+        a, b = (ngram_join.signatures(z, count(z), 10_000, 90, 100) for z in (x, y))
         assert len(np.intersect1d(a, b))
 
 
+def test_filter_passes_what_it_holds(spark):
+    rng = np.random.default_rng(5)
+    held, other = (rng.integers(-(1 << 63), 1 << 63, n, dtype=np.int64) for n in (500, 20_000))
+    bits = ngram_join._filter(spark.createDataFrame([(int(x),) for x in held], "sig long"), "sig").value
+    assert ngram_join._passes(bits, held.view(np.uint64)).all()
+    assert ngram_join._passes(bits, other.view(np.uint64)).mean() < 0.01
+    none = ngram_join._filter(spark.createDataFrame([], "sig long"), "sig").value
+    assert not ngram_join._passes(none, other.view(np.uint64)).any()
+
+
 def test_lengthened_signatures_are_shared():
     rng = np.random.default_rng(2)
     for num in (60, 80, 90):
