@@ -138,8 +138,8 @@ _Q["ds_split_validate"] = f"""with {_SPLIT}, i as (
 _POS = "select doc_id, case when i < floor(n * {a}) then 'train' when i < floor(n * {a}) + floor(n * {b}) then 'val' else 'test' end as split from (select doc_id, row_number() over (order by doc_id) - 1 as i, count(*) over () as n from images)"
 _Q["ds_positional_split"] = _POS.format(a="0.8::double", b="0.1::double")
 _Q["ds_angle_pairs"] = f"select split, angle, count(*) as count from ({_POS.format(a='0.7::double', b='0.15::double')}), (values (0), (180)) v(angle) group by 1, 2"
-_Q["ds_quota_gaps"] = "select key, required, actual, required - actual as missing from (select key, cast(required as bigint) as required, coalesce(c, 0) as actual from (values ('paper', 200), ('scan', 100), ('screen', 150), ('excel', 100), ('handwrite', 50)) k(key, required) left join (select format as key, count(*) as c from image_meta where image_id < 700 group by 1) using (key)) where actual < required"
-_Q["synth_plan"] = "select industry, n as real_count, cast(case when n = 0 then 80 when n < 50 then 25 else 0 end as bigint) as recommended_render, cast(case when n = 0 then 0 when n < 50 then 25 else least(3 * n, 200) end as bigint) as recommended_aug from (select industry, count(*) as n from image_meta where image_id < 300 group by 1)"
+_Q["ds_quota_gaps"] = "select key, required, actual, required - actual as missing from (select key, cast(required as bigint) as required, coalesce(c, 0) as actual from (values ('paper', 200), ('scan', 100), ('screen', 150), ('excel', 100), ('handwrite', 50)) k(key, required) left join (select format as key, count(*) as c from image_meta group by 1) using (key)) where actual < required"
+_Q["synth_plan"] = "select industry, n as real_count, cast(case when n = 0 then 80 when n < 50 then 25 else 0 end as bigint) as recommended_render, cast(case when n = 0 then 0 when n < 50 then 25 else least(3 * n, 200) end as bigint) as recommended_aug from (select industry, count(*) as n from image_meta group by 1)"
 _Q["label_prefix_join"] = """select filename, string_agg(crop_name, '|' order by crop_name, crop_text) as crop_names, string_agg(crop_text, '|' order by crop_name, crop_text) as crop_texts
     from (select concat('doc_', cast(doc_id as varchar), '.png') as filename, concat('doc_', cast(doc_id as varchar)) as stem from documents) i join crops c on starts_with(c.crop_name, i.stem || '_') group by 1"""
 
