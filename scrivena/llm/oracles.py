@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from scrivena.llm.weak_rules import FUNCTION_WORDS, HIGH, KEEP, LEAST_WORDS, LOW, MOST_REPEATED, ROUNDS
+
 _WORDS = r"coalesce(regexp_extract_all({text}, '[^\x20\x09-\x0D]+'), [])"
 _LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -24,6 +26,20 @@ def _canonical(table: str) -> str:
       from (select *, regexp_replace(regexp_replace(trim(url), '#.*$', ''), '^[a-zA-Z][a-zA-Z0-9+.-]*://', '') as u from {table}))"""
 
 
+def _posterior(votes: str) -> str:
+    up, down = "ln(em.good[j] / (1 - em.bad[j]))", "ln((1 - em.good[j]) / em.bad[j])"
+    return f"(1 / (1 + exp(-(ln(em.prior / (1 - em.prior)) + list_sum(list_transform(range(1, 11), lambda j: case {votes}[j] when 1 then {up} when -1 then {down} else 0.0::double end))))))"
+
+
+def _inside(value: str, low: float, high: float) -> str:
+    return f"least(greatest({value}, {low}::double), {high}::double)"
+
+
+def _accuracy(share: str, vote: int) -> str:
+    right, all_ = (f"list_sum(list_transform(s, lambda x: case when x.v[j] {test} then {share} else 0.0::double end))" for test in (f"= {vote}", "<> 0"))
+    return f"list_transform(range(1, 11), lambda j: {_inside(f'({right} + 1) / ({all_} + 2)', LOW, HIGH)})"
+
+
 ORACLE_SQL: dict[str, str] = {
     "op1_revisit_resolution": f"""with {_CAPTURES}, r as ({_canonical('resp')}), a as ({_canonical('asks')}),
     r1 as (select * from r qualify row_number() over (partition by canonical_url, ts order by response_id desc) = 1),
@@ -57,4 +73,24 @@ ORACLE_SQL: dict[str, str] = {
     links as (select a.vec_id as a, b.vec_id as b from ok a join ok b on a.label = b.label and len(a.e) = len(b.e) and a.vec_id < b.vec_id where list_cosine_similarity(a.e, b.e) >= 0.98), {_REACH},
     n as (select x, count(*) as n from (select a as x from links union all select b from links) group by 1)
     select v.vec_id, coalesce(n.n, 0) as n_links, coalesce(low.component_id, v.vec_id) as component_id, coalesce(low.component_id, v.vec_id) = v.vec_id as kept from v left join n on n.x = v.vec_id left join low on low.x = v.vec_id""",
+    "op13_weak_rules": rf"""with recursive w as (select row_number() over () as r, doc_id, coalesce(text, '') as t, {_WORDS.format(text='text')} as ws from documents where doc_id is not null),
+    l as (select *, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) as ls from w),
+    g as (select r, i, array_to_string(ws[i : i + 2], ' ') as k from (select r, ws, unnest(range(1, len(ws) - 1)) as i from w)),
+    rep as (select r, count(distinct j) as n from (select r, unnest(range(i, i + 3)) as j from g where (r, k) in (select r, k from g group by 1, 2 having count(*) > 1)) group by r),
+    f as (select l.r, doc_id, cast(len(ws) as bigint) as n, cast(len(array_to_string(ws, '')) as bigint) as chars, cast(len(t) - len(translate(t, '#*$%&|<>', '')) as bigint) as sym,
+        cast(len(ls) - len(list_distinct(ls)) as bigint) as dup, coalesce(rep.n, 0) as rep, len(ls) as nl, len(regexp_replace(t, '\P{{L}}+', '', 'g')) as let, len(list_distinct(ws)) as dis,
+        len(list_filter(ws, lambda x: regexp_matches(x, '^["''(\[]?\p{{L}}+(?:[-''\x{{2019}}]\p{{L}}+)*[.,;:!?)\]"'']?$'))) as plain, len(list_filter(ws, lambda x: regexp_matches(x, '[^\p{{L}}\p{{N}}]{{2}}$'))) as dou,
+        len(list_filter(ws, lambda x: len(x) > 1 and regexp_matches(x, '^\P{{Ll}}*\p{{Lu}}\P{{Ll}}*$'))) as up, len(list_filter(ws, lambda x: lower(x) in ({", ".join(f"'{x}'" for x in FUNCTION_WORDS)}))) as fun,
+        len(list_filter(ls, lambda x: regexp_matches(x, '[.!?]["'')\]]*\s*$'))) as ended from l left join rep using (r)),
+    v as (select *, n < {LEAST_WORDS} or 100 * rep > {MOST_REPEATED} * n as bad, [{", ".join(f"case when {no} then -1 when {yes} and n > 0 then 1 else 0 end" for no, yes in (
+        ("100 * sym > 10 * n", "100 * sym <= 2 * n"), ("100 * plain <= 70 * n", "100 * plain > 95 * n"), ("100 * fun <= 8 * n", "100 * fun > 12 * n"), ("100 * let <= 80 * chars", "100 * let > 90 * chars"),
+        ("100 * dou > 10 * n", "100 * dou <= 2 * n"), ("100 * up > 30 * n", "100 * up <= 10 * n"), ("100 * rep > 20 * n", "100 * rep <= 5 * n"), ("100 * dis <= 15 * n", "100 * dis > 35 * n"),
+        ("100 * dup > 30 * nl", "dup = 0 and nl >= 2"), ("100 * ended <= 10 * nl and nl >= 4", "100 * ended > 60 * nl")))}] as votes from f),
+    p as (select list({{'v': votes, 'n': c}} order by votes) as p from (select votes, count(*) as c from v where not bad group by 1)),
+    em as (select 0 as i, 0.7::double as prior, list_transform(range(10), lambda x: 0.8::double) as good, list_transform(range(10), lambda x: 0.8::double) as bad union all
+      select i + 1, {_inside("(list_sum(list_transform(s, lambda x: x.n * x.q)) + 1) / (list_sum(list_transform(s, lambda x: cast(x.n as double))) + 2)", 0.01, 0.99)},
+        {_accuracy("x.n * x.q", 1)}, {_accuracy("x.n * (1 - x.q)", -1)}
+      from (select em.i, list_transform(p.p, lambda x: {{'v': x.v, 'n': x.n, 'q': {_posterior('x.v')}}}) as s from em, p where em.i < {ROUNDS} and p.p is not null))
+    select doc_id, n as n_words, chars as word_chars, sym as n_symbols, dup as n_dup_lines, rep as n_repeat_words, v.bad as base_failed, not v.bad and {_posterior('v.votes')} >= {KEEP} as kept,
+      array_to_string(v.votes, ',') as votes, round({_posterior('v.votes')}, 6) as quality from v, (select * from em order by i desc limit 1) em""",
 }

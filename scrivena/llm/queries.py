@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scrivena.llm import embedding_dedup, fm_index, imatch, ngram_join, packing, piece_codec, quality, revisit, suffix_sort, toxicity
+from scrivena.llm import embedding_dedup, fm_index, imatch, ngram_join, packing, piece_codec, quality, revisit, suffix_sort, toxicity, weak_rules
 from scrivena.llm._common import read
 from scrivena.llm.oracles import ORACLE_SQL  # noqa: F401
 
@@ -69,6 +69,12 @@ def op10_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_tokens", digest("id_text").alias("ids_sha256"), digest("decoded").alias("decoded_sha256"))
 
 
+def op13_weak_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents judged by base rules and by the posterior of the quality rules' votes."""
+    out = weak_rules.judge(read(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", F.array_join("votes", ",").alias("votes"), F.round("quality", 6).alias("quality"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_revisit_resolution": op1_revisit_resolution,
     "op2_fm_index_dedup": op2_fm_index_dedup,
@@ -80,4 +86,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_suffix_array_dedup": op8_suffix_array_dedup,
     "op9_embedding_dedup": op9_embedding_dedup,
     "op10_piece_codec": op10_piece_codec,
+    "op13_weak_rules": op13_weak_rules,
 }
