@@ -73,6 +73,23 @@ ORACLE_SQL: dict[str, str] = {
     links as (select a.vec_id as a, b.vec_id as b from ok a join ok b on a.label = b.label and len(a.e) = len(b.e) and a.vec_id < b.vec_id where list_cosine_similarity(a.e, b.e) >= 0.98), {_REACH},
     n as (select x, count(*) as n from (select a as x from links union all select b from links) group by 1)
     select v.vec_id, coalesce(n.n, 0) as n_links, coalesce(low.component_id, v.vec_id) as component_id, coalesce(low.component_id, v.vec_id) = v.vec_id as kept from v left join n on n.x = v.vec_id left join low on low.x = v.vec_id""",
+    "op12_prefix_trie": """with recursive bits(i, k, v) as (select cast(i as bigint), 0, cast(i as bigint) from range(256) r(i) union all select i, k + 1, case when v & 1 = 1 then xor(v >> 1, 3988292384) else v >> 1 end from bits where k < 8),
+    tab as (select i, v from bits where k = 8),
+    crc(c, s, k, v) as (select conv_id, cast(conv_id as varchar), 1, 4294967295 from (select distinct conv_id from conversations where conv_id is not null) union all
+      select c, s, k + 1, xor(crc.v >> 8, tab.v) from crc join tab on tab.i = xor(crc.v, ascii(s[k])) & 255 where k <= len(s)),
+    convs as (select c, c - c % 5 as base, xor(v, 4294967295) % 9 as h from crc where k = len(s) + 1),
+    t as (select conv_id as c, row_number() over (partition by conv_id order by turn nulls first, x) - 1 as pos, x, bytes from (
+      select conv_id, turn, sha256(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) as x, strlen(coalesce(text, '')) as bytes from conversations where conv_id is not null)),
+    r as (select c, row_number() over (partition by c order by own, pos) as d, x, bytes from (
+      select convs.c, false as own, pos, x, bytes from convs join t on t.c = base where pos < h union all select c, true, pos, x, bytes from convs join t using (c) where pos >= h)),
+    l as (select c, list(x order by d) as xs from r group by 1),
+    m as (select c, d, md5(array_to_string(xs[:d], ',')) as k, bytes, len(xs) = d as stop from r join l using (c) union all select c, 0, '', 0, xs is null from convs left join l using (c)),
+    n as (select d, k, min(c) as rep, count(*) as n, any_value(bytes) as bytes, bool_and(stop) as leaf, sha256(coalesce(string_agg(cast(c as varchar), ',' order by c) filter (where stop), '')) as ends from m group by 1, 2),
+    sub as (select m.d, m.k, sum(cast(v.leaf as int)) as leaves, sum((v.n - 1) * v.bytes) as saved from m join n v on v.rep = m.c and v.d >= m.d group by 1, 2),
+    up as (select n.d, n.k, p.k as pk, p.rep as parent from n join m on m.c = n.rep and m.d = n.d - 1 join n p on p.d = m.d and p.k = m.k),
+    kids as (select d - 1 as d, pk as k, count(*) as n from up group by 1, 2)
+    select n.rep as conv_id, n.d as depth, parent as parent_conv_id, n.n as n_convs, coalesce(kids.n, 0) as n_children, cast(leaves as bigint) as n_leaves, cast(saved as bigint) as saved_tokens, ends as ends_sha256
+    from n join sub using (d, k) left join up using (d, k) left join kids using (d, k)""",
     "op13_weak_rules": rf"""with recursive w as (select row_number() over () as r, doc_id, coalesce(text, '') as t, {_WORDS.format(text='text')} as ws from documents where doc_id is not null),
     l as (select *, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) as ls from w),
     g as (select r, i, array_to_string(ws[i : i + 2], ' ') as k from (select r, ws, unnest(range(1, len(ws) - 1)) as i from w)),
