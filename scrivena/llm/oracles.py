@@ -73,6 +73,18 @@ ORACLE_SQL: dict[str, str] = {
     links as (select a.vec_id as a, b.vec_id as b from ok a join ok b on a.label = b.label and len(a.e) = len(b.e) and a.vec_id < b.vec_id where list_cosine_similarity(a.e, b.e) >= 0.98), {_REACH},
     n as (select x, count(*) as n from (select a as x from links union all select b from links) group by 1)
     select v.vec_id, coalesce(n.n, 0) as n_links, coalesce(low.component_id, v.vec_id) as component_id, coalesce(low.component_id, v.vec_id) = v.vec_id as kept from v left join n on n.x = v.vec_id left join low on low.x = v.vec_id""",
+    "op11_source_divergence": rf"""with d as (select row_number() over () as r, coalesce(lang, '') as lang, coalesce(source, '') as source, regexp_extract_all({_LOWER.replace("(text,", "(coalesce(text, ''),")}, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') as ts from documents),
+    o as (select r, lang, source, unnest(ts) as t from d),
+    k as (select lang, t, count(*) as n from o group by 1, 2 having count(distinct r) >= 3),
+    v as (select lang, count(*) as v, sum(n) as n from k group by 1),
+    c as (select lang, source, t, count(*) as n from o semi join k using (lang, t) group by all),
+    g as (select g.lang, g.source, coalesce(any_value(v.v), 0) as v, coalesce(sum(c.n), 0) as n from (select distinct lang, source from d) g left join v using (lang) left join c on c.lang = g.lang and c.source = g.source group by 1, 2),
+    p as (select g.lang, g.source, k.t, coalesce(c.n, 0) as n, 1 + (1000000000::hugeint * (coalesce(c.n, 0) + 1)) // (g.n + g.v) as p from g join k using (lang) left join c on c.lang = g.lang and c.source = g.source and c.t = k.t),
+    l as (select lang, t, 1 + (1000000000::hugeint * (k.n + 1)) // (v.n + v.v) as q from k join v using (lang)),
+    pairs as (select a.lang, a.source, b.source as item, sum((a.p - b.p) * (a.p - b.p) // b.p) as value from p a join p b on a.lang = b.lang and a.t = b.t and a.source <> b.source group by all),
+    found as (select a.lang, a.source, 'pair' as part, b.source as item, cast(coalesce(pairs.value, 0) as bigint) as value from g a join g b on a.lang = b.lang and a.source <> b.source left join pairs on pairs.lang = a.lang and pairs.source = a.source and pairs.item = b.source
+      union all select lang, source, 'term', t, cast((p - q) * (p - q) // q as bigint) from p join l using (lang, t) where n > 0 and p > q)
+    select *, cast(row_number() over (partition by lang, source, part order by value desc, item) as int) as rank from found qualify part = 'pair' or rank <= 200""",
     "op12_prefix_trie": """with recursive bits(i, k, v) as (select cast(i as bigint), 0, cast(i as bigint) from range(256) r(i) union all select i, k + 1, case when v & 1 = 1 then xor(v >> 1, 3988292384) else v >> 1 end from bits where k < 8),
     tab as (select i, v from bits where k = 8),
     crc(c, s, k, v) as (select conv_id, cast(conv_id as varchar), 1, 4294967295 from (select distinct conv_id from conversations where conv_id is not null) union all

@@ -27,27 +27,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from scrivena.llm._common import discard, scratch
+from scrivena.llm._common import discard, numbered, scratch
 
 #: Turns of a stretch, and bits of the ids of a block of members.
 STRETCH, BLOCK = 1024, 16
 
 
-def _numbered(rows: DataFrame, name: str, label: str) -> DataFrame:
-    """rows, written, with dense numbers from 0 in the order of their partitions and of the rows inside."""
-    found = scratch(rows.withColumn("_at", F.monotonically_increasing_id()), label)
-    part = F.shiftright("_at", 33)
-    counts = found.groupBy(part.alias("_p")).agg(F.count("*").alias("_c"))  # a row for each partition
-    before = F.coalesce(F.sum("_c").over(Window.partitionBy(F.lit(0)).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    out = found.withColumn("_p", part).join(F.broadcast(counts.select("_p", before.alias("_b"))), "_p")
-    out = out.withColumn(name, F.col("_b") + F.col("_at").bitwiseAND((1 << 33) - 1)).drop("_at", "_p", "_b")
-    out._scratch_path = found._scratch_path
-    return out
-
-
 def _named(rows: DataFrame, keys: list[str], label: str) -> DataFrame:
     """rows, written, with `name` instead of keys: a dense number for each distinct combination of them."""
-    names = _numbered(rows.select(*keys).distinct(), "name", f"{label}-names")
+    names = numbered(rows.select(*keys).distinct(), "name", f"{label}-names")
     out = scratch(rows.join(names, keys).drop(*(k for k in keys if k != "d")), label)
     discard(names)
     return out
@@ -61,7 +49,7 @@ def positions(conversations: DataFrame) -> DataFrame:
     # Copies of a row are told apart by where they lay, so that ranges can split them.
     order = ["conv_id", "turn", "x", "copy"]
     rows = rows.withColumn("copy", F.monotonically_increasing_id()).repartitionByRange(*order).sortWithinPartitions(*order)
-    rows = _numbered(rows.drop("copy", "turn"), "at", "turns")
+    rows = numbered(rows.drop("copy", "turn"), "at", "turns")
     first = rows.groupBy("conv_id").agg(F.min("at").alias("first"), F.count("*").alias("n"))
     return rows.join(first, "conv_id").select("conv_id", (F.col("at") - F.col("first")).alias("pos"), "n", "x", "bytes")
 

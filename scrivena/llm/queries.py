@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scrivena.llm import embedding_dedup, fm_index, imatch, ngram_join, packing, piece_codec, prefix_trie, quality, revisit, suffix_sort, toxicity, weak_rules
+from scrivena.llm import divergence, embedding_dedup, fm_index, imatch, ngram_join, packing, piece_codec, prefix_trie, quality, revisit, suffix_sort, toxicity, weak_rules
 from scrivena.llm._common import read
 from scrivena.llm.oracles import ORACLE_SQL  # noqa: F401
 
@@ -69,6 +69,11 @@ def op10_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_tokens", digest("id_text").alias("ids_sha256"), digest("decoded").alias("decoded_sha256"))
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each source of all documents against the other sources of its language, and its terms against the language."""
+    return divergence.audit(read(spark, sf_dir, "documents"))
+
+
 def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The prefix trie of all conversations, rebuilt so that they share beginnings."""
     return prefix_trie.trie(*prefix_trie.rebuild(prefix_trie.positions(read(spark, sf_dir, "conversations"))))
@@ -91,6 +96,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_suffix_array_dedup": op8_suffix_array_dedup,
     "op9_embedding_dedup": op9_embedding_dedup,
     "op10_piece_codec": op10_piece_codec,
+    "op11_source_divergence": op11_source_divergence,
     "op12_prefix_trie": op12_prefix_trie,
     "op13_weak_rules": op13_weak_rules,
 }
