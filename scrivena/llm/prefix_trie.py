@@ -156,6 +156,7 @@ def trie(turns: DataFrame, convs: DataFrame) -> DataFrame:
     rows = named.join(turns.select("conv_id", (F.col("pos") + 1).alias("d"), "bytes", "len"), ["conv_id", "d"])
     rows = rows.unionByName(convs.select("conv_id", zero.alias("d"), zero.alias("name"), zero.alias("bytes"), "len"))
     nodes = rows.groupBy("d", "name").agg(F.min("conv_id").alias("rep"), F.count("*").alias("n_convs"), F.count_if(F.col("len") > F.col("d")).alias("on"))
+    nodes = scratch(nodes, "nodes")  # written first, so that Spark can split the rows of a node that most conversations share
     is_rep: Column = F.col("conv_id") == F.col("rep")
     members = rows.join(nodes, ["d", "name"])
     members = scratch(members.select("conv_id", "d", "name", "len", "rep", F.when(is_rep, 0).otherwise(F.col("bytes")).cast("long").alias("saved_tokens"), (is_rep & (F.col("on") == 0)).cast("long").alias("n_leaves")), "members")
