@@ -22,15 +22,15 @@ rows; other columns are ignored.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from scrivena.llm._common import chunks, numbered, raw, scratch
+from scrivena.llm._common import chunks, numbered, scratch
 
 #: Documents that a kept term has at least, and terms in a group's list.
 LEAST, MOST = 3, 200
@@ -40,20 +40,39 @@ SCALE = 1000
 _TERM = bytes(c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 
 
+def _split(texts: pa.Array) -> pa.ListArray:
+    """The terms of each text (no nulls), and empty strings between them; all texts' bytes are mapped at once."""
+    n = len(texts)
+    at = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset : texts.offset + n + 1]
+    data = bytes((texts.buffers()[2] or b"")[at[0] : at[-1]]).translate(_TERM)
+    return pc.ascii_split_whitespace(pa.StringArray.from_buffers(n, pa.py_buffer(at - at[0]), pa.py_buffer(data)))
+
+
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """lang, source, term, n (occurrences), docs; of each chunk of texts."""
     for batch in chunks(batches, max_bytes=CHUNK):
-        found: dict[tuple, tuple[Counter, Counter]] = {}
-        for lang, source, text in zip(batch.column("lang").to_pylist(), batch.column("source").to_pylist(), raw(batch)):
-            terms = text.translate(_TERM).split()
-            n, docs = found.setdefault((lang, source), (Counter(), Counter()))
-            n.update(terms)
-            docs.update(set(terms))
-        for (lang, source), (n, docs) in found.items():
-            yield pa.RecordBatch.from_arrays(
-                [pa.repeat(lang, len(n)), pa.repeat(source, len(n)), pa.array(n, pa.binary()).cast(pa.string()), pa.array(n.values(), pa.int64()), pa.array(map(docs.__getitem__, n), pa.int64())],
-                names=["lang", "source", "term", "n", "docs"],
-            )
+        found = _split(batch.column("text").cast(pa.string()))
+        flat = found.flatten()
+        doc = np.repeat(np.arange(len(found)), np.diff(found.offsets.to_numpy()))
+        full = pc.greater(pc.binary_length(flat), 0)
+        terms, doc = flat.filter(full).dictionary_encode(), doc[full.to_numpy(zero_copy_only=False)]
+        if not len(doc):
+            continue
+        lang, source = (batch.column(c).dictionary_encode() for c in ("lang", "source"))
+        group = lang.indices.to_numpy().astype(np.int64) * len(source.dictionary) + source.indices.to_numpy()
+        # First by document and term, then by group and term.
+        m = len(terms.dictionary)
+        pair, times = np.unique(doc * m + terms.indices.to_numpy(), return_counts=True)
+        key = group[pair // m] * m + pair % m
+        order = np.argsort(key, kind="stable")
+        start = np.flatnonzero(np.diff(key[order], prepend=-1))
+        g, term = np.divmod(key[order][start], m)
+        at = np.divmod(g, len(source.dictionary))
+        sizes = np.diff(np.append(start, len(order)))
+        yield pa.RecordBatch.from_arrays(
+            [lang.dictionary.take(pa.array(at[0])), source.dictionary.take(pa.array(at[1])), terms.dictionary.take(pa.array(term)), pa.array(np.add.reduceat(times[order], start)), pa.array(sizes)],
+            names=["lang", "source", "term", "n", "docs"],
+        )
 
 
 def postings(docs: DataFrame, least: int = LEAST) -> tuple[DataFrame, DataFrame]:
