@@ -4,6 +4,10 @@ from __future__ import annotations
 
 import json
 
+import posixpath
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -36,6 +40,25 @@ def append_events(rows: DataFrame, path: str) -> None:
     rows.write.mode("append").option("ignoreNullFields", True).json(path)
 
 
+def write_files(rows: DataFrame, folder: str) -> int:
+    """A file for each row of (name, content binary), below a folder of any store that Arrow opens; how many there are.
+    A task that runs again writes the same files again."""
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow import fs
+
+        store, root = fs.FileSystem.from_uri(folder) if ":/" in folder else (fs.LocalFileSystem(), folder)
+        for b in batches:
+            for name, content in zip(b.column("name").to_pylist(), b.column("content").to_pylist()):
+                path = posixpath.join(root, name)
+                store.create_dir(posixpath.dirname(path), recursive=True)
+                with store.open_output_stream(path) as f:
+                    f.write(content)
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows], pa.int64())], names=["n"])
+
+    return rows.select("name", "content").mapInArrow(write, "n long").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+
+
 def quality_rows(checks: DataFrame) -> DataFrame:
     """filename, passed, reasons, contains_personal_info -> the columns of the quality log."""
     return checks.select("filename", flag(F.col("passed")).alias("passed"), F.array_join("reasons", "|").alias("reject_reasons"), flag(F.col("contains_personal_info")).alias("contains_personal_info"))
