@@ -111,16 +111,26 @@ def box_of_points(points: Column) -> Column:
     return box(F.array_min(xs), F.array_min(ys), F.array_max(xs), F.array_max(ys))
 
 
-def _mapped(b: Column, to, w, h) -> Column:
-    corners = [to(x, y) for x in (b["x1"], b["x2"]) for y in (b["y1"], b["y2"])]
+def mapped(b: Column, to, w, h) -> Column:
+    """Bounding box of the corners under a map of points, clamped to the image, in whole pixels. The map is written into
+    the expression once, whatever it takes."""
     whole = lambda v, most: F.greatest(F.lit(0), F.least(v, F.lit(most).cast("double") - 1)).cast("long")
-    xs, ys = [c[0] for c in corners], [c[1] for c in corners]
-    return box(whole(F.least(*xs), w), whole(F.least(*ys), h), whole(F.greatest(*xs), w), whole(F.greatest(*ys), h))
+    corners = F.array(*(F.struct(b[x].alias("x"), b[y].alias("y")) for x in ("x1", "x2") for y in ("y1", "y2")))
+
+    def moved(p: Column) -> Column:
+        x, y = to(p["x"], p["y"])
+        return F.struct(x.cast("double").alias("x"), y.cast("double").alias("y"))
+
+    def bounds(at: Column) -> Column:
+        xs, ys = F.transform(at, lambda p: p["x"]), F.transform(at, lambda p: p["y"])
+        return box(whole(F.array_min(xs), w), whole(F.array_min(ys), h), whole(F.array_max(xs), w), whole(F.array_max(ys), h))
+
+    return F.transform(F.array(F.transform(corners, moved)), bounds)[0]
 
 
 def affine(b: Column, m: list[list[float]], w: int, h: int) -> Column:
     """Bounding box of the corners under a 2 x 3 matrix, clamped to the image."""
-    return _mapped(b, lambda x, y: (x * m[0][0] + y * m[0][1] + m[0][2], x * m[1][0] + y * m[1][1] + m[1][2]), w, h)
+    return mapped(b, lambda x, y: (x * m[0][0] + y * m[0][1] + m[0][2], x * m[1][0] + y * m[1][1] + m[1][2]), w, h)
 
 
 def perspective(b: Column, m: list[list[float]], w: int, h: int) -> Column:
@@ -130,7 +140,7 @@ def perspective(b: Column, m: list[list[float]], w: int, h: int) -> Column:
         d = x * m[2][0] + y * m[2][1] + m[2][2]
         return safe_div(x * m[0][0] + y * m[0][1] + m[0][2], d), safe_div(x * m[1][0] + y * m[1][1] + m[1][2], d)
 
-    return _mapped(b, to, w, h)
+    return mapped(b, to, w, h)
 
 
 def flip(b: Column, w) -> Column:
