@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from scrivena.functions import text as t
 from scrivena.functions.scalars import safe_div
+from scrivena.operators.order_stats import first_k
 from scrivena.operators.ranks import cuts_of, range_of
 
 #: Samples per format and industry that a collection asks for.
@@ -87,15 +88,20 @@ def stratified_split(images: DataFrame, strata: tuple[str, ...] = ("format",), s
     """images with split: of each stratum's real images, int(test * n) that aren't difficult are tested, int(val * n) of
     the others validate; all others and all synthetic ones train. Ranks by a hash of seed and key replace a shuffle, so
     that any run gives the same split."""
-    real = F.col("source") != "synthetic"
+    # 52 bits of the hash as a number; ties go by the whole hash, then the key.
     digest = F.md5(F.concat(F.lit(f"{seed}|"), F.col(key).cast("string")))
-    w = Window.partitionBy(*strata)
-    rows = images.withColumn("_h", digest).withColumn("_real", real).withColumn("_n", F.count_if(real).over(w))
-    first = Window.partitionBy(*strata, "_real", "difficult").orderBy("_h", key)
-    rows = rows.withColumn("_t", real & ~F.col("difficult") & (F.row_number().over(first) <= F.floor(F.col("_n") * test)))
-    second = Window.partitionBy(*strata, "_real", "_t").orderBy("_h", key)
-    rows = rows.withColumn("_v", real & ~F.col("_t") & (F.row_number().over(second) <= F.floor(F.col("_n") * val)))
-    return rows.withColumn("split", F.when(F.col("_t"), "test").when(F.col("_v"), "val").otherwise("train")).drop("_h", "_real", "_n", "_t", "_v")
+    rows = images.withColumn("_h", digest).withColumn("_u", F.conv(F.substring("_h", 1, 13), 16, 10).cast("double"))
+    synthetic = F.coalesce(F.col("source") == "synthetic", F.lit(True))
+    real = rows.where(~synthetic)
+    sizes = real.groupBy(*strata).agg(F.count("*").alias("n"))
+    share = lambda p: sizes.select(*strata, F.floor(F.col("n") * p).alias("k"))
+    hard = F.coalesce("difficult", F.lit(True))
+    tested = first_k(real.where(~hard), list(strata), "_u", share(test), ["_h", key])
+    others = tested.where("not first").drop("first").unionByName(real.where(hard))
+    valid = first_k(others, list(strata), "_u", share(val), ["_h", key])
+    parts = (tested.where("first").withColumn("split", F.lit("test")), valid.withColumn("split", F.when(F.col("first"), "val").otherwise("train")), rows.where(synthetic).withColumn("split", F.lit("train")))
+    out = parts[0].drop("first").unionByName(parts[1].drop("first")).unionByName(parts[2])
+    return out.drop("_h", "_u")
 
 
 def positional_split(items: DataFrame, order: str, train: float = 0.8, val: float = 0.1) -> DataFrame:

@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from scrivena.operators.order_stats import quantiles
+
 STATUSES = ("active", "superseded", "deprecated", "rollback_candidate")
 
 
 def upsert(versions: DataFrame, new: DataFrame) -> DataFrame:
-    """versions with the rows of new put in or in the place of those with the same version, ordered by version (as text)."""
-    return versions.join(new.select("version"), "version", "left_anti").unionByName(new).orderBy("version")
+    """versions with the rows of new put in or in the place of those with the same version."""
+    return versions.join(new.select("version"), "version", "left_anti").unionByName(new)
 
 
 def active(versions: DataFrame) -> DataFrame:
@@ -63,11 +67,8 @@ def metric_delta(before, after, tolerance: float):
 
 
 def latency(rows: DataFrame, value: str, *by: str) -> DataFrame:
-    """p50, p95, p99 (the sorted value at int((n - 1) * p)), mean and max.
-
-    Ranks come from a window for each group; groups are measurements of a run.
-    """
-    w = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
-    at = rows.where(F.col(value).isNotNull()).withColumn("_i", F.row_number().over(w.orderBy(value)) - 1).withColumn("_n", F.count("*").over(w))
-    pick = lambda p: F.max(F.when(F.col("_i") == F.floor((F.col("_n") - 1) * p), F.col(value)))
-    return at.groupBy(*by).agg(F.count("*").alias("n"), *(pick(p).alias(f"p{int(p * 100)}") for p in (0.5, 0.95, 0.99)), F.avg(value).alias("mean"), F.max(value).alias("max"))
+    """p50, p95, p99 (the sorted value at int((n - 1) * p)), mean and max; by selection, so that no group is sorted."""
+    sums = rows.where(F.col(value).isNotNull()).groupBy(*by).agg(F.count("*").alias("n"), F.avg(value).alias("mean"), F.max(value).alias("max"))
+    found = quantiles(rows, list(by), value, {"p50": 0.5, "p95": 0.95, "p99": 0.99})
+    same = reduce(lambda a, b: a & b, (sums[c].eqNullSafe(found[c]) for c in by), F.lit(True))
+    return sums.join(found, same).select(*(sums[c] for c in by), "n", "p50", "p95", "p99", "mean", "max")

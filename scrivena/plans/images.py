@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scrivena.functions import text as t
-from scrivena.operators import augment, pixels
+from scrivena.operators import augment, pixels, raster
 from scrivena.plans.fixtures import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -165,3 +165,11 @@ def img_prepared(s, d):
     """What the preparation of each image comes to."""
     out = pixels.prepared(scans(s, d), sharp=10000.0, low=LOW, high=TOP, step=STEP)
     return out.withColumn("sharpness", F.round("sharpness", 4))
+
+
+@query("""with b as (select image_id, greatest(0, x1 // 4) as a, least(119, x2 // 4) as b, greatest(0, y1 // 4) as c, least(89, y2 // 4) as d from gt_boxes),
+    c as (select distinct image_id, x, unnest(range(c, d)) as y from (select image_id, unnest(range(a, b)) as x, c, d from b where b > a and d > c)) select image_id, count(*) as cells from c group by 1""")
+def det_target_area(s, d):
+    """How many cells of each image's training target its boxes cover."""
+    b = table(s, d, "gt_boxes").select("image_id", F.lit(480).cast("long").alias("w"), F.lit(360).cast("long").alias("h"), *(F.col(c).cast("long").alias(c) for c in ("x1", "y1", "x2", "y2")))
+    return raster.covered(b)

@@ -48,6 +48,7 @@ _Q["det_micro"] = _summed("")
 _Q["det_micro_iou_03"] = _summed("", 0.3)
 _Q["det_by_format"] = _summed("format")
 _Q["det_by_industry"] = _summed("industry")
+_Q["det_breakdowns"] = " union all ".join(f"select '{a}' as attribute, {v} as value, tp, fp, fn, num_pred, num_gt, precision, recall, f1, sample_count from ({_summed(c)})" for a, v, c in (("format", "format", "format"), ("industry", "industry", "industry"), ("all", "null", "")))
 _Q["det_per_image"] = f"{_M}, {_COUNTS} select image_id, tp, fp, fn, num_gt, n_pred as num_pred, {_FIG} from counts"
 _Q["det_lowest_f1"] = f"{_M}, {_COUNTS} select image_id, f1 from (select image_id, {_FIG} from counts) order by f1, image_id limit 5"
 _Q["det_error_analysis"] = f"""{_M}, area as (select avg(cast((x2 - x1) * (y2 - y1) as double)) as m from gt_boxes),

@@ -63,6 +63,12 @@ def det_by_industry(s, d):
     return _r(detection.breakdown(*_boxes(s, d), table(s, d, "image_meta"), "industry"), *FIGURES)
 
 
+@query
+def det_breakdowns(s, d):
+    """By format, by industry and over all, from one matching."""
+    return _r(detection.breakdowns(*_boxes(s, d), table(s, d, "image_meta"), ["format", "industry"]), *FIGURES)
+
+
 @query
 def det_error_analysis(s, d):
     return detection.errors(*_boxes(s, d))
