@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from scrivena.functions import text as t
 from scrivena.functions.scalars import safe_div
-from scrivena.operators.order_stats import first_k
 from scrivena.operators.ranks import cuts_of, range_of
 
 #: Samples per format and industry that a collection asks for.
@@ -88,20 +89,40 @@ def stratified_split(images: DataFrame, strata: tuple[str, ...] = ("format",), s
     """images with split: of each stratum's real images, int(test * n) that aren't difficult are tested, int(val * n) of
     the others validate; all others and all synthetic ones train. Ranks by a hash of seed and key replace a shuffle, so
     that any run gives the same split."""
-    # 52 bits of the hash as a number; ties go by the whole hash, then the key.
-    digest = F.md5(F.concat(F.lit(f"{seed}|"), F.col(key).cast("string")))
-    rows = images.withColumn("_h", digest).withColumn("_u", F.conv(F.substring("_h", 1, 13), 16, 10).cast("double"))
-    synthetic = F.coalesce(F.col("source") == "synthetic", F.lit(True))
-    real = rows.where(~synthetic)
-    sizes = real.groupBy(*strata).agg(F.count("*").alias("n"))
-    share = lambda p: sizes.select(*strata, F.floor(F.col("n") * p).alias("k"))
-    hard = F.coalesce("difficult", F.lit(True))
-    tested = first_k(real.where(~hard), list(strata), "_u", share(test), ["_h", key])
-    others = tested.where("not first").drop("first").unionByName(real.where(hard))
-    valid = first_k(others, list(strata), "_u", share(val), ["_h", key])
-    parts = (tested.where("first").withColumn("split", F.lit("test")), valid.withColumn("split", F.when(F.col("first"), "val").otherwise("train")), rows.where(synthetic).withColumn("split", F.lit("train")))
-    out = parts[0].drop("first").unionByName(parts[1].drop("first")).unionByName(parts[2])
-    return out.drop("_h", "_u")
+    # Hashes are uniform, so that a histogram of their first digits tells for each stratum in which bin its tests and its
+    # validation end. Only the rows of those two bins are sorted, by the whole hash and the key.
+    rows = images.withColumn("_h", F.md5(F.concat(F.lit(f"{seed}|"), F.col(key).cast("string")))).withColumn("_bin", F.conv(F.substring("_h", 1, 4), 16, 10).cast("int"))
+    rows = rows.withColumn("_real", F.coalesce(F.col("source") != "synthetic", F.lit(False)))
+    rows = rows.withColumn("_easy", F.col("_real") & ~F.coalesce("difficult", F.lit(True)))
+    bins = rows.where("_real").groupBy(*strata, "_bin").agg(F.count("*").alias("n"), F.count_if("_easy").alias("easy"))
+    all_, upto = Window.partitionBy(*strata), Window.partitionBy(*strata).orderBy("_bin").rowsBetween(Window.unboundedPreceding, 0)
+
+    def end(counts: DataFrame, of: str, size: str, name: str) -> DataFrame:
+        """counts with the bin where `size` of the column's rows are reached, and how many of that bin belong to them."""
+        met = counts.withColumn("_sum", F.sum(of).over(upto))
+        at = (F.col("_sum") >= F.col(size)) & (F.col("_sum") - F.col(of) < F.col(size))
+        first = F.min(F.when(at, F.struct("_bin", (F.col(size) - F.col("_sum") + F.col(of)).alias("room")))).over(all_)
+        beyond = F.when(F.col(size) <= 0, -1).otherwise(1 << 16)
+        return met.withColumns({name: F.coalesce(first["_bin"], beyond), f"{name}_room": F.coalesce(first["room"], F.lit(0))}).drop("_sum")
+
+    total = F.sum("n").over(all_)
+    bins = end(bins.withColumns({"_test": F.floor(total * test), "_val": F.floor(total * val)}), "easy", "_test", "_bt")
+    left = F.col("n") - F.when(F.col("_bin") < F.col("_bt"), F.col("easy")).when(F.col("_bin") == F.col("_bt"), F.col("_bt_room")).otherwise(0)
+    ends = end(bins.withColumn("_left", left), "_left", "_val", "_bv").groupBy(*strata).agg(*(F.first(c).alias(c) for c in ("_bt", "_bt_room", "_bv", "_bv_room")))
+    ends = ends.withColumnsRenamed({c: f"_s{i}" for i, c in enumerate(strata)})
+    rows = rows.join(ends, reduce(lambda a, b: a & b, (F.col(c).eqNullSafe(F.col(f"_s{i}")) for i, c in enumerate(strata)), F.lit(True)), "left")
+    decided = (F.col("_bin") == F.col("_bt")) | (F.col("_bin") == F.col("_bv"))
+    rank = lambda flag: F.row_number().over(Window.partitionBy(*strata, "_bin", flag).orderBy("_h", key))
+
+    def ended(part: DataFrame, sort: bool) -> DataFrame:
+        inside = lambda name, flag: (F.col("_bin") < F.col(name)) | ((F.col("_bin") == F.col(name)) & (rank(flag) <= F.col(f"{name}_room"))) if sort else F.col("_bin") < F.col(name)
+        part = part.withColumn("_t", F.coalesce(F.col("_easy") & inside("_bt", "_easy"), F.lit(False)))
+        part = part.withColumn("_pool", F.col("_real") & ~F.col("_t"))
+        return part.withColumn("split", F.when(F.col("_t"), "test").when(F.col("_pool") & inside("_bv", "_pool"), "val").otherwise("train"))
+
+    edge = F.coalesce(decided & F.col("_real"), F.lit(False))
+    out = ended(rows.where(~edge), False).unionByName(ended(rows.where(edge), True))
+    return out.select(*images.columns, "split")
 
 
 def positional_split(items: DataFrame, order: str, train: float = 0.8, val: float = 0.1) -> DataFrame:
