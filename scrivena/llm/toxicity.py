@@ -3,8 +3,11 @@
 A logistic regression over the presence of words and word beginnings in a document. In training, each labelled sentence
 that names a group (identity term) gets counterfactuals: the same sentence with the term swapped for others of its kind.
 Their scores should not differ, so the squared change of the logit is a penalty beside the log loss; neutral mentions of
-a group then don't raise a score. Features are those that tell the classes apart best in the sample, plus the identity
-terms, so that their weights can be held down. Fitting uses `sample` labelled documents at most (SAMPLE), the ones whose
+a group then don't raise a score. Few corpora name groups often enough for that, so identity terms are also put into a
+sentence of labelled documents of either class, as many of one as of the other (PLANTED of each at most); those copies train
+with their documents' labels, and their sentences are swapped like others. Any labelled table with words thus has pairs;
+Presence.pairs is their number, and at 0 the model is a plain logistic regression. Features are those that tell the classes
+apart best in the sample, plus the identity terms, so that their weights can be held down. Fitting uses `sample` labelled documents at most (SAMPLE), the ones whose
 ids have the least hashes; scoring covers every whole text.
 
 Defined results: null and empty texts score as a document without features; without labelled rows every score is 0.5;
@@ -25,6 +28,8 @@ from scrivena.llm.quality import labelled, score
 
 #: Most labelled documents that the model is fitted on.
 SAMPLE = 8000
+#: Most documents of each class that get an identity term put in.
+PLANTED = 1000
 #: Most features of the model, and the lengths of word beginnings.
 FEATURES, STEMS = 4096, (4, 5, 6)
 STRIP = ".,;:!?\"'()[]{}<>*|-"
@@ -81,11 +86,28 @@ def counterfactuals(text: str, groups=IDENTITIES, most: int = 4) -> list[tuple[s
     return out
 
 
+def planted(rows: list[tuple[bytes, int]], groups=IDENTITIES, most: int = PLANTED) -> list[tuple[bytes, int]]:
+    """Copies of labelled documents with an identity term put into one sentence; as many of each class, `most` at most.
+    Which documents, sentence, place and term is a matter of the text's hash."""
+    flat = [t for g in groups for t in g]
+    kinds = [sorted((xxhash.xxh64_intdigest(text), text) for text, y in rows if y == label and text.strip()) for label in (0, 1)]
+    out = []
+    for label, kind in enumerate(kinds):
+        for h, text in kind[: min(most, *map(len, kinds))]:
+            parts = re.split(r"(?<=[.!?\n])(\s*)", text.decode("utf-8", "replace"))
+            at = 2 * (h % ((len(parts) + 1) // 2))
+            words = parts[at].split(" ")
+            words.insert((h >> 16) % (len(words) + 1), flat[(h >> 32) % len(flat)])
+            parts[at] = " ".join(words)
+            out.append(("".join(parts).encode(), label))
+    return out
+
+
 class Presence:
-    """The model: weights of features, and the bias."""
+    """The model: weights of features, the bias, and how many counterfactual pairs it was fitted with."""
 
-    def __init__(self, weights: dict[str, float], bias: float):
-        self.weights, self.bias = weights, bias
+    def __init__(self, weights: dict[str, float], bias: float, pairs: int = 0):
+        self.weights, self.bias, self.pairs = weights, bias, pairs
         # A word scores only through these, so that most words are done with one look at their beginning.
         self.begins = {f.removesuffix("*")[: min(STEMS)] for f in weights}
 
@@ -100,10 +122,12 @@ class Presence:
         return 1 / (1 + np.exp(-np.clip(z, -50, 50)))
 
 
-def train(rows: list[tuple[bytes, int]], groups=IDENTITIES, penalty: float = 1.0, ridge: float = 1e-6, rounds: int = 1500, rate: float = 0.1) -> Presence:
+def train(rows: list[tuple[bytes, int]], groups=IDENTITIES, penalty: float = 10.0, ridge: float = 1e-6, rounds: int = 1500, rate: float = 0.1) -> Presence:
     """Full-batch Adam on log loss + penalty * mean squared logit change under identity swaps + ridge."""
     if not rows:
         return Presence({}, 0.0)
+    given = len(rows)
+    rows = rows + planted(rows, groups)
     y = np.array([r[1] for r in rows], np.float64)
     # A document's features are kept as 32-bit hashes; only those that are chosen are needed as texts.
     hashes, pairs = [], []
@@ -111,23 +135,24 @@ def train(rows: list[tuple[bytes, int]], groups=IDENTITIES, penalty: float = 1.0
         t = text.decode("utf-8", "replace")
         hashes.append(np.unique(np.fromiter(map(xxhash.xxh32_intdigest, terms(set(t.lower().split()))), np.uint32)))
         pairs += counterfactuals(t, groups)
-    n1, n0 = max(y.sum(), 1), max(len(y) - y.sum(), 1)
-    toxic = [h for h, label in zip(hashes, y) if label]
+    # Features are chosen by the documents as they are; the copies are there to be fitted.
+    n1, n0 = max(y[:given].sum(), 1), max(given - y[:given].sum(), 1)
+    toxic = [h for h, label in zip(hashes[:given], y) if label]
     keys, a = np.unique(np.concatenate(toxic), return_counts=True) if toxic else (np.zeros(0, np.uint32), np.zeros(0, np.int64))
     keys, a = keys[a >= 3], a[a >= 3]
     b = np.zeros(len(keys), np.int64)
-    for h, label in zip(hashes, y):
+    for h, label in zip(hashes[:given], y):
         if not label and len(keys):
             at = np.minimum(np.searchsorted(keys, h), len(keys) - 1)
             b[at[keys[at] == h]] += 1
-    p = (a + b) / len(y)
+    p = (a + b) / given
     gain = (a / n1 - b / n0) / np.sqrt(p * (1 - p) * (1 / n1 + 1 / n0) + 1e-9)
     best = np.lexsort((keys, -gain))[:FEATURES]
     chosen = set(keys[best[gain[best] >= 3]].tolist())
     # Identity terms too, where they occur: their weights are what the penalty holds down.
     named = {f: xxhash.xxh32_intdigest(f) for g in groups for t in g for f in terms({t})}
-    seen = np.unique(np.concatenate(hashes))
-    number = {f: i for i, f in enumerate(sorted(f for f, h in named.items() if h in chosen or seen[min(np.searchsorted(seen, h), len(seen) - 1)] == h))}
+    seen = set(np.intersect1d(np.array(list(named.values()), np.uint32), np.concatenate(hashes)).tolist())
+    number = {f: i for i, f in enumerate(sorted(f for f, h in named.items() if h in chosen or h in seen))}
     wanted = np.array(sorted(chosen), np.uint32)
     docs: list[list[str]] = []
     for (text, _), h in zip(rows, hashes):
@@ -158,13 +183,12 @@ def train(rows: list[tuple[bytes, int]], groups=IDENTITIES, penalty: float = 1.0
             grad[:m] += np.bincount(ca, change[ra], m) - np.bincount(cb, change[rb], m)
         m1, m2 = 0.9 * m1 + 0.1 * grad, 0.999 * m2 + 0.001 * grad**2
         move = rate * (m1 / (1 - 0.9**step)) / (np.sqrt(m2 / (1 - 0.999**step)) + 1e-8)
-        # Words add to a score or say nothing: none makes up for another.
-        w, bias = np.maximum(w - move[:m], 0), bias - move[m]
+        w, bias = w - move[:m], bias - move[m]
     names = list(number)
-    return Presence({names[i]: float(w[i]) for i in np.flatnonzero(np.abs(w) > 1e-3)}, float(bias))
+    return Presence({names[i]: float(w[i]) for i in np.flatnonzero(np.abs(w) > 1e-3)}, float(bias), len(pairs))
 
 
-def classify(docs: DataFrame, labels: DataFrame, label: str = "toxic", folds: int = 3, held_out: int = 1, threshold: float = 0.7, sample: int = SAMPLE, groups=IDENTITIES, penalty: float = 1.0) -> DataFrame:
+def classify(docs: DataFrame, labels: DataFrame, label: str = "toxic", folds: int = 3, held_out: int = 1, threshold: float = 0.7, sample: int = SAMPLE, groups=IDENTITIES, penalty: float = 10.0) -> DataFrame:
     """doc_id, tk (the text's hash), held_out, score and predicted for every row of docs."""
     docs = documents(docs)
     model = train(labelled(docs, labels, label, folds, held_out, sample), groups, penalty)

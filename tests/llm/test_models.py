@@ -61,11 +61,37 @@ def test_without_labels(spark):
     assert quality.classify(docs.where("false"), labels).count() == 0
 
 
-def test_labels_outside_the_fold_only():
-    """The held-out fold never trains: its rows are filtered before the sample."""
-    import inspect
-
-    assert "held_out" in inspect.signature(quality.labelled).parameters
+def test_labels_outside_the_fold_only(spark):
+    """Labels of the held-out fold change no score; labels of the others do."""
+    rows = corpus(200)
+    docs, labels = frames(spark, rows)
+    held = {d for d, *_ in rows if zlib.crc32(str(d).encode()) % 3 == 1}
+    turned = lambda which: spark.createDataFrame([(d, q, 1 - x if (d in held) == which else x) for d, _, q, x in rows], "doc_id long, quality int, toxic int")
+    scores = lambda y: {r.doc_id: r.score for r in toxicity.classify(docs, y).collect()}
+    base = scores(labels)
+    assert scores(turned(True)) == base != scores(turned(False))
+    found = quality.labelled(quality.documents(docs), labels, "toxic", 3, 1, 1000)
+    assert len(found) == len([d for d, *_ in rows if d not in held])
+
+
+def test_pairs_on_any_table():
+    """Texts without identity terms get them, as many in either class; the penalty then changes the model and brings
+    mentions of groups closer to each other."""
+    rows = [(t.encode(), x) for _, t, _, x in corpus(400)]
+    assert not any(toxicity.counterfactuals(t.decode()) for t, _ in rows)
+    put = toxicity.planted(rows)
+    assert len(put) == 2 * min(sum(y == k for _, y in rows) for k in (0, 1)) and {y for _, y in put} == {0, 1}
+    assert all(toxicity.counterfactuals(t.decode()) for t, _ in put)
+    plain, fair = toxicity.train(rows, penalty=0.0), toxicity.train(rows, penalty=10.0)
+    assert plain.pairs == fair.pairs >= len(put) and plain.weights != fair.weights
+
+    def spread(m):
+        return np.mean([np.ptp([m.logit(f"we met the {t} there.") for t in g]) for g in toxicity.IDENTITIES])
+
+    assert spread(fair) < 0.7 * spread(plain)
+    neutral = [f"we met the {t} there.".encode() for g in toxicity.IDENTITIES for t in g]
+    assert (fair.scores(neutral) < 0.7).all()
+    assert toxicity.train([(b"", 0), (b" ", 1)]).pairs == 0 and toxicity.planted([]) == []
 
 
 def test_counterfactual_penalty():
