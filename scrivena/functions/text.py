@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from scrivena.functions.traces import edit_traces
+
 #: Fixed values.
 FORMATS = ("paper", "scan", "screen", "excel", "handwrite")
 INDUSTRIES = ("hospital", "convenience", "factory", "office", "food", "etc")
@@ -108,39 +108,12 @@ def resolved(root: Column, path: Column) -> Column:
 OPS = "array<struct<op: string, gt: string, pred: string>>"
 
 
-def _ops(pred: str, gt: str) -> list[dict]:
-    """What turns pred into gt: an extra character of pred is a delete, a missing one of gt an insert."""
-    n, m = len(pred), len(gt)
-    cost = [list(range(m + 1))] + [[i, *[0] * m] for i in range(1, n + 1)]
-    for i in range(1, n + 1):
-        above, row = cost[i - 1], cost[i]
-        for j in range(1, m + 1):
-            row[j] = above[j - 1] if pred[i - 1] == gt[j - 1] else 1 + min(above[j], row[j - 1], above[j - 1])
-    found, i, j = [], n, m
-    while i or j:
-        if i and j and pred[i - 1] == gt[j - 1]:
-            i, j = i - 1, j - 1
-            continue
-        # Of equal costs a delete goes first, then an insert.
-        here = cost[i][j] - 1
-        if i and cost[i - 1][j] == here:
-            found.append({"op": "delete", "gt": "", "pred": pred[i - 1]})
-            i -= 1
-        elif j and cost[i][j - 1] == here:
-            found.append({"op": "insert", "gt": gt[j - 1], "pred": ""})
-            j -= 1
-        else:
-            found.append({"op": "substitute", "gt": gt[j - 1], "pred": pred[i - 1]})
-            i, j = i - 1, j - 1
-    return found[::-1]
-
-
 def edit_ops(pred: Column, gt: Column) -> Column:
-    """The edit operations from pred to gt, by an Arrow function; for texts that differ, others have none to trace."""
+    """The edit operations from pred to gt (an extra character of pred is a delete, a missing one of gt an insert), by an
+    Arrow function over whole batches; for texts that differ, others have none to trace."""
 
-    @F.pandas_udf(OPS)
-    def trace(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        for a, b in batches:
-            yield pd.Series([None if p is None or q is None else _ops(p, q) for p, q in zip(a, b)], dtype=object)
+    @F.arrow_udf(OPS)
+    def trace(a: pa.Array, b: pa.Array) -> pa.Array:
+        return edit_traces(a, b)
 
     return trace(pred, gt)

@@ -72,9 +72,11 @@ def _filled(keys: DataFrame, got: DataFrame, key: str) -> DataFrame:
 
 def confusions(rows: DataFrame, k: int = 20) -> DataFrame:
     """The k most frequent substitutions: gt_char, pred_char, count; ties by characters."""
-    wrong = rows.where("distance > 0").select(F.explode(t.edit_ops(F.col("pred_text"), F.col("gt_text"))).alias("o"))
-    pairs = wrong.where(F.col("o.op") == "substitute").groupBy(F.col("o.gt").alias("gt_char"), F.col("o.pred").alias("pred_char"))
-    return pairs.agg(F.count("*").alias("count")).orderBy(F.desc("count"), "gt_char", "pred_char").limit(k)
+    # Equal pairs are traced once.
+    pairs = rows.where("distance > 0").groupBy("pred_text", "gt_text").agg(F.count("*").alias("n"))
+    ops = pairs.select("n", F.explode(t.edit_ops(F.col("pred_text"), F.col("gt_text"))).alias("o")).where(F.col("o.op") == "substitute")
+    found = ops.groupBy(F.col("o.gt").alias("gt_char"), F.col("o.pred").alias("pred_char")).agg(F.sum("n").alias("count"))
+    return found.orderBy(F.desc("count"), "gt_char", "pred_char").limit(k)
 
 
 def worst(rows: DataFrame, k: int = 50, order: str = "sample_id") -> DataFrame:

@@ -56,3 +56,14 @@ def health(log: DataFrame, rising: int = 10) -> DataFrame:
         yield pd.DataFrame(found, columns=["run_id", "step", "issue"])
 
     return log.groupBy("run_id").applyInPandasWithState(check, "run_id long, step long, issue string", "losses array<double>", "append", "NoTimeout")
+
+
+def daily_counts(events: DataFrame) -> DataFrame:
+    """Events by kind and day; for complete mode."""
+    return events.groupBy("event_type", "day").agg(F.count("*").alias("n"))
+
+
+def rising(counts: DataFrame) -> DataFrame:
+    """Counts that are above those of the day before: event_type, day, n, before."""
+    before = counts.select("event_type", (F.col("day") + 1).alias("day"), F.col("n").alias("before"))
+    return counts.join(before, ["event_type", "day"]).where("n > before").select("event_type", "day", "n", "before")
