@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -40,6 +42,23 @@ def keep_last(points: DataFrame, n: int = 3, run: str = "run_id", order: str = "
     return points.withColumn("_k", F.row_number().over(w)).where(F.col("_k") <= n).drop("_k")
 
 
+@dataclass(frozen=True)
+class Retention:
+    """What decides which checkpoints of a run stay: the best by a metric, and the last few."""
+
+    monitor: str
+    mode: str = "max"
+    keep: int = 3
+
+    def kept(self, points: DataFrame, run: str = "run_id", order: str = "step") -> DataFrame:
+        """points that stay, with is_best (better than all before) and is_last (the latest); the best is the last of the
+        former."""
+        marked = best(points, self.monitor, self.mode, run, order)
+        w = Window.partitionBy(run).orderBy(F.desc(order))
+        marked = marked.withColumns({"_k": F.row_number().over(w), "_b": F.max(F.when(F.col("is_best"), F.col(order))).over(Window.partitionBy(run))})
+        return marked.where((F.col("_k") <= self.keep) | (F.col(order) == F.col("_b"))).withColumns({"is_last": F.col("_k") == 1, "is_best": F.col(order) == F.col("_b")}).drop("_k", "_b")
+
+
 def conform(rows: DataFrame, header: list[str]) -> DataFrame:
     """The header's columns as text, missing ones empty, others dropped."""
     return rows.select(*(F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) if c in rows.columns else F.lit("").alias(c) for c in header))

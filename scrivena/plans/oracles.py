@@ -5,7 +5,7 @@ from __future__ import annotations
 from scrivena.operators.charset import CODES, JAMO, PUNCTUATION
 from scrivena.operators.gates import ACTIONS, CRITERIA
 from scrivena.operators.synthetic import AUGMENTATIONS
-from scrivena.plans import files, images, streams, training_sets
+from scrivena.plans import files, images, rules, streams, training_sets
 from scrivena.plans.fixtures import duck
 
 _Q: dict[str, str] = {}
@@ -271,6 +271,6 @@ def _budget() -> str:
 _Q["aug_budget"] = _budget()
 _Q["global_rank"] = "select o_orderkey, row_number() over (order by o_orderkey) as rank from orders"
 
-_Q |= files.SQL | images.SQL | training_sets.SQL | streams.SQL
+_Q |= files.SQL | images.SQL | training_sets.SQL | streams.SQL | rules.SQL
 
 ORACLES: dict[str, str] = {name: duck(sql.replace("as string)", "as varchar)")) for name, sql in _Q.items()}

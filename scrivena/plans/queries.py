@@ -11,7 +11,7 @@ from scrivena.functions import geometry as g
 from scrivena.functions import text as t
 from scrivena.operators import charset, ctc, dataset, detection, feedback, gates, recognition, registry, roster, shapes, synthetic, training
 from scrivena.operators.ranks import ranked
-from scrivena.plans import files, images, streams, training_sets
+from scrivena.plans import files, images, rules, streams, training_sets
 from scrivena.plans.fixtures import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -491,4 +491,4 @@ def global_rank(s, d):
     return ranked(table(s, d, "orders").select("o_orderkey"), "o_orderkey")
 
 
-QUERIES |= files.QUERIES | images.QUERIES | training_sets.QUERIES | streams.QUERIES
+QUERIES |= files.QUERIES | images.QUERIES | training_sets.QUERIES | streams.QUERIES | rules.QUERIES
