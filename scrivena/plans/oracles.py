@@ -244,7 +244,7 @@ _Q["charset_freq"] = f"select ch, count(*) as count from ({_CH}) where ch <> ''
 _BASE = ", ".join("('" + c.replace("'", "''") + "')" for c in dict.fromkeys(JAMO + "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789" + PUNCTUATION + "".join(CODES.values()).replace(" ", "")))
 _ALL = f"chars as (select distinct ch from (select chr(cast(i as int)) as ch from range(44032, 55204) t(i) union all select ch from (values {_BASE}) v(ch)))"
 _Q["charset_missing"] = f"with {_ALL} select ch, count from (select ch, count(*) as count from ({_CH}) where ch <> '' group by 1) f anti join chars using (ch)"
-_Q["charset_size"] = f"with {_ALL} select count(*) as size, count(*) filter (unicode(ch) between 44032 and 55203) as hangul from chars"
+_Q["charset_size"] = f"with {_ALL} select count(*) as size, count(*) filter (unicode(ch) between 44032 and 55203) as hangul, count(*) filter (ch in (select ch from ({_CH}))) as used from chars"
 _Q["encode_text"] = "select p_partkey, array_to_string(list_transform(string_split(p_name, ''), lambda c: case when strpos('abcdefghijklmnopqrstuvwxyz 0123456789', c) > 0 then strpos('abcdefghijklmnopqrstuvwxyz 0123456789', c) - 1 else 99 end), ',') as ids from part"
 _Q["ctc_greedy"] = """with l as (select sample, (i - 1) // 8 as t, (i - 1) % 8 as v, cast(embedding[i] as double) as x from (select vec_id as sample, embedding, unnest(range(1, 65)) as i from embeddings)),
     s as (select sample, t, arg_max(v, (x, -v)) as idx, 1.0 / sum(exp(x - m)) as p from (select *, max(x) over (partition by sample, t) as m from l) group by 1, 2),

@@ -429,7 +429,10 @@ def charset_missing(s, d):
 
 @query
 def charset_size(s, d):
-    return charset.payroll_charset(s).agg(F.count("*").alias("size"), F.count_if(F.col("ch").between("가", "힣")).alias("hangul"))
+    """The character set's size, and how much of it the documents use."""
+    used = charset.frequencies(table(s, d, "documents")).select("ch", F.lit(True).alias("used"))
+    every = charset.payroll_charset(s).join(used, "ch", "left")
+    return every.agg(F.count("*").alias("size"), F.count_if(F.col("ch").between("가", "힣")).alias("hangul"), F.count_if("used").alias("used"))
 
 
 @query
@@ -482,8 +485,9 @@ def aug_budget(s, d):
 
 @query
 def synth_render(s, d):
-    rows = synthetic.render_labels(s, 500, "hospital")
-    return rows.groupBy("template_type", "is_handwriting").agg(F.count("*").alias("count"))
+    """A rendered label for each image of the data set, in its industry."""
+    rows = synthetic.rendered(table(s, d, "image_meta").select(F.col("image_id").alias("sequence"), "industry"))
+    return rows.groupBy("industry", "template_type", "is_handwriting").agg(F.count("*").alias("count"))
 
 
 @query
