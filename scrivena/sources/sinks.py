@@ -90,10 +90,21 @@ def report(title: str, figures: dict, tables: dict[str, list[dict]] | None = Non
     return "\n".join(out) + "\n"
 
 
+#: Rows of a report's table at most.
+REPORTED = 1000
+
+
+def _short(table: DataFrame) -> list[dict]:
+    rows = table.limit(REPORTED + 1).collect()
+    if len(rows) > REPORTED:
+        raise ValueError(f"a report's table has {REPORTED} rows at most; write longer ones as tables")
+    return [r.asDict(recursive=True) for r in rows]
+
+
 def evaluation_report(summary: DataFrame, title: str, **tables: DataFrame) -> str:
-    """A report of a one-row summary and of tables that are limited already (top-k, fixed groups)."""
-    return report(title, summary.first().asDict(), {k: [r.asDict() for r in v.collect()] for k, v in tables.items()})
+    """A report of a one-row summary and of short tables (top-k, fixed groups); longer ones are refused."""
+    return report(title, summary.first().asDict(), {k: _short(v) for k, v in tables.items()})
 
 
 def deploy_manifest(gates: DataFrame, version: str, approved_by: str, checkpoints: dict[str, str]) -> dict:
-    return {"version": version, "approved_by": approved_by, "checkpoints": checkpoints, "gates": [r.asDict(recursive=True) for r in gates.orderBy("gate").collect()]}
+    return {"version": version, "approved_by": approved_by, "checkpoints": checkpoints, "gates": _short(gates.orderBy("gate"))}

@@ -75,3 +75,12 @@ def test_feedback_stream(spark, tmp_path):
     key = lambda df: sorted(map(tuple, df.collect()))
     assert key(spark.sql("select * from levels")) == key(streams.feedback_levels(rows)) != []
     assert streams.error_rates(rows).agg(F.sum("errors")).first()[0] == 40
+
+
+def test_reports_are_short(spark):
+    import pytest
+
+    one = spark.createDataFrame([(0.5,)], "f1 double")
+    with pytest.raises(ValueError, match="at most"):
+        sinks.evaluation_report(one, "Report", rows=spark.range(sinks.REPORTED + 1))
+    assert "| 999 |" in sinks.evaluation_report(one, "Report", rows=spark.range(sinks.REPORTED))
