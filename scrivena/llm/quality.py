@@ -41,16 +41,21 @@ def labelled(docs: DataFrame, labels: DataFrame, label: str, folds: int, held_ou
     y = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("y")).where("doc_id is not null and y is not null")
     y = y.where(fold("doc_id", folds) != held_out).groupBy("doc_id").agg(F.min("y").alias("y"))
     y = y.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-    # At most `sample` rows are broadcast and collected.
-    rows = docs.join(F.broadcast(y), "doc_id").select(F.col("text").cast("binary").alias("text"), "y", "doc_id").toArrow()
+    # At most `sample` rows are broadcast and collected; rows that share id and text are one.
+    rows = docs.join(F.broadcast(y), "doc_id").groupBy("doc_id", "tk").agg(F.first("text").alias("text"), F.first("y").alias("y"))
+    rows = rows.orderBy(F.xxhash64("doc_id"), "doc_id", "tk").limit(sample).select(F.col("text").cast("binary").alias("text"), "y", "doc_id").toArrow()
     found = sorted(zip(rows.column("doc_id").to_pylist(), rows.column("text").to_pylist(), rows.column("y").to_pylist()), key=lambda r: (r[0], r[1] or b""))
-    return [(t or b"", y) for _, t, y in found[:sample]]
+    return [(t or b"", y) for _, t, y in found]
 
 
 def features(words: list[bytes], buckets: int = BUCKETS) -> tuple[np.ndarray, np.ndarray]:
     """Table rows of the words' features, word after word, and how many each has."""
-    sizes = np.array([len(w) + 2 for w in words], np.int64)
-    text = np.frombuffer(b"<" + b"><".join(words) + b">", np.uint8).astype(np.uint64) + np.uint64(1)
+    data = b"<" + b"><".join(words) + b">"
+    # Code points: a word has as many as bytes that don't go on with another one.
+    begins = (np.frombuffer(data, np.uint8) & 0xC0) != 0x80
+    lengths_ = np.array([len(w) + 2 for w in words], np.int64)
+    sizes = np.add.reduceat(begins.astype(np.int64), np.cumsum(lengths_) - lengths_)
+    text = np.frombuffer(data.decode("utf-8").encode("utf-32-le"), np.uint32).astype(np.uint64) + np.uint64(1)
     stop = np.cumsum(sizes)
     start = stop - sizes
     left = np.repeat(stop, sizes) - np.arange(len(text))  # places to the word's end
