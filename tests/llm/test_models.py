@@ -130,3 +130,21 @@ def test_scoring_strips_words_as_training_does():
     model = toxicity.Presence(weights, 0.0)
     for w in ("non-white", "(non-white", "(non-white)", "f***ed", "(f***ed!", "gay", "'gay',", "[a-b]", "a-b-", "nongay", "f*"):
         assert model.logit(w) == sum(weights[f] for f in toxicity.terms({w}) if f in weights), w
+
+
+def test_characters_are_symbols():
+    """A letter of two bytes makes as many n-grams as one of one."""
+    for a, b in (("a", "é"), ("abc", "äöü"), ("word", "слов"), ("ab", "😀漢")):
+        (_, m), (_, n) = quality.features([a.encode()], 1 << 16), quality.features([b.encode()], 1 << 16)
+        assert m[0] == n[0]
+
+
+def test_repeated_rows_train_once(spark):
+    rows = corpus(60)
+    docs, labels = frames(spark, rows)
+    once = quality.labelled(quality.documents(docs), labels, "quality", 4, 2, 1000)
+    many = quality.documents(docs.union(docs).union(docs))
+    assert quality.labelled(many, labels.union(labels), "quality", 4, 2, 1000) == once
+    assert len(quality.labelled(many, labels, "quality", 4, 2, 7)) == 7
+    got = toxicity.classify(docs.union(docs), labels).collect()
+    assert len(got) == 2 * (len(rows) + 2) and len({(r.doc_id, r.score) for r in got}) == len(rows) + 2
