@@ -84,3 +84,14 @@ def test_shortest_pack_first(size):
         assert placed == Counter(h)
     with pytest.raises(ValueError):
         packing.shortest_pack_first({size + 1: 1}, size)
+
+
+def test_codec_empty_and_repeated(spark):
+    none = spark.createDataFrame([], "doc_id long, text string")
+    assert piece_codec.decode(piece_codec.encode(none)).count() == 0
+    assert packing.pack(none).count() == 0
+    rows = spark.createDataFrame([(1, "the same text"), (1, "the same text"), (1, "another"), (2, None)], "doc_id long, text string")
+    m = piece_codec.load(piece_codec.default_model())
+    got = sorted((r.doc_id, list(r.ids), r.decoded) for r in piece_codec.decode(piece_codec.encode(rows)).collect())
+    want = sorted((d, list(m.encode(t)), m.decode(m.encode(t))) for d, t in [(1, "the same text"), (1, "the same text"), (1, "another"), (2, "")])
+    assert got == want
