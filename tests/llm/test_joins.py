@@ -269,3 +269,24 @@ def test_imatch_band_is_a_share_at_every_size(spark):
         rows = [(i, f"t{i}" + " a" * (i < n // 50) + " b" * (i <= n // 50)) for i in range(n)]
         df = spark.createDataFrame(rows, "doc_id long, text string")
         assert imatch.stop_terms(df) == [spark.range(1).select(imatch.F.xxhash64(imatch.F.lit("b"))).first()[0]]
+
+
+def test_embedding_dedup_deals_in_bounded_batches(monkeypatch):
+    from types import SimpleNamespace
+
+    import pyarrow as pa
+
+    monkeypatch.setattr(embedding_dedup, "TILE", 1 << 14)
+    x = np.random.default_rng(3).normal(0, 1, (3000, 8))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    n = len(x)
+    batch = pa.RecordBatch.from_arrays([pa.array([1] * n, pa.int64()), pa.array(range(n), pa.int64()), pa.array([1] * n, pa.int64()), pa.array([v.tobytes() for v in x], pa.binary())], names=["label", "cls", "w", "data"])
+    # No centroids: one cell, of 50 blocks of homes and 5 wide ones.
+    deal = embedding_dedup._deal(SimpleNamespace(value={}), SimpleNamespace(value={(1, -9): (50, 5)}), 0.98)
+    sizes = [b.num_rows for b in deal(iter([batch]))]
+    assert max(sizes) <= embedding_dedup.SLICE + 54
+    assert sum(sizes) == n * 54  # 50 tiles as a member, 5 as a home, one of them as both
+    tile = embedding_dedup._tile(0.98)
+    same = pa.table({"cls": list(range(200)), "w": [1] * 200, "home": [True] * 200, "member": [True] * 200, "data": [x[0].tobytes()] * 200})
+    out = tile(same).to_pydict()
+    assert out["n"] == [199] * 200 and set(out["v"]) == {0}
