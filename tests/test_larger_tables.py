@@ -28,3 +28,11 @@ def test_training_paths_of_seven_digits_are_those_of_the_sql(spark, million):
     con, d = million
     got = rows_of(QUERIES["fb_training_set"](spark, d).groupBy("crop_path", "text").count().where("crop_path like 'fallback/fb_1000%' or crop_path like 'crops/10000%'"))
     assert got == rows_of_sql(con, f"select crop_path, text, count(*) as count from ({ORACLES['fb_training_set']}) where crop_path like 'fallback/fb_1000%' or crop_path like 'crops/10000%' group by 1, 2")
+
+
+def test_last_half_second_of_a_day(spark, tmp_path):
+    con = duckdb.connect()
+    times = ["2024-01-01 12:00:00", "2024-01-01 23:59:59.4", "2024-01-01 23:59:59.5", "2024-01-01 23:59:59.7", "2024-01-02 08:00:00", "2024-01-02 23:59:58.5", "2024-01-03 01:00:00", "1969-12-31 20:00:00", "1970-01-01 01:00:00"]
+    con.execute(f"copy (select row_number() over () as event_id, 'a' as event_type, cast(unnest({times}) as timestamp) as ts) to '{tmp_path}/events.parquet'")
+    con.execute(f"create view events as select * from '{tmp_path}/events.parquet'")
+    assert rows_of(QUERIES["stream_rising_days"](spark, str(tmp_path))) == rows_of_sql(con, ORACLES["stream_rising_days"])
