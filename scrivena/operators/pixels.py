@@ -1,8 +1,9 @@
 """Images as tables of pixels: thresholds, sharpness, orientation and skew, as aggregates over pixels.
 
-A pixel table has a key, x, y and v (grey, 0 to 255); `size` columns w and h go along. A pixel is a small row, and what is
-shuffled are sums: histograms of 256 bins, profiles of one value a row and angle. No image is held whole by a task, so that
-a scanned plan of any size is measured like a thumbnail.
+A pixel table has a key, x, y and v (grey, 0 to 255, not null); `size` columns w and h go along. A pixel is a small row, and
+what is shuffled are sums: histograms of 256 bins, profiles of one value a row and angle, which Arrow batches of pixels add
+up before. Where pixels need their neighbours, they are gathered into lines: key, w, h, y and v, the greys of a line. No
+image is held whole by a task, so that a scanned plan of any size is measured like a thumbnail.
 
 Rotations work in whole numbers, with sines and cosines in units of 2**-16, so that every engine and every run puts a pixel
 into the same row.
@@ -19,8 +20,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from scrivena.operators.shapes import detection_resize, recognition_resize
+from scrivena.sources.shared import folder
 
 UNIT = 16
+#: Pixels that a task works on at once.
+STRIP = 1 << 20
 
 
 def angles(low: float, high: float, step: float) -> list[tuple[float, int, int]]:
@@ -50,7 +54,10 @@ def exploded(images: DataFrame, key: str, image: str = "image") -> DataFrame:
 
 def threshold(pixels: DataFrame, key: str = "image_id") -> DataFrame:
     """key, cut: Otsu's threshold, the first value that parts the histogram best; pixels up to it are dark."""
-    bins = pixels.groupBy(key, "v").agg(F.count("*").alias("n"))
+    return _threshold(pixels.groupBy(key, "v").agg(F.count("*").alias("n")), key)
+
+
+def _threshold(bins: DataFrame, key: str) -> DataFrame:
     w = Window.partitionBy(key).orderBy("v").rowsBetween(Window.unboundedPreceding, 0)  # 256 rows at most
     whole = Window.partitionBy(key)
     at = bins.select(key, "v", F.sum("n").over(w).alias("n0"), F.sum(F.col("n") * F.col("v")).over(w).alias("m0"), F.sum("n").over(whole).alias("n"), F.sum(F.col("n") * F.col("v")).over(whole).alias("m"))
@@ -95,20 +102,189 @@ def orientation(pixels: DataFrame, key: str = "image_id", least: float = 5.0) ->
     return pixels.groupBy(key).agg((mean(F.col("y") >= F.col("h") - q) < mean(F.col("y") < q) - least).alias("turned"))
 
 
+def _strips(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Lines in slices of about STRIP pixels (one line at least)."""
+    for b in batches:
+        ends = np.cumsum(b.column("v").value_lengths().to_numpy(zero_copy_only=False))
+        start = 0
+        while start < b.num_rows:
+            base = ends[start - 1] if start else 0
+            stop = max(start + 1, int(np.searchsorted(ends, base + STRIP, side="right")))
+            yield b.slice(start, stop - start)
+            start = stop
+
+
+def _longs(b: pa.RecordBatch, *names: str) -> list[np.ndarray]:
+    return [b.column(n).to_numpy(zero_copy_only=False).astype(np.int64) for n in names]
+
+
+def _flat(b: pa.RecordBatch, name: str = "v") -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The values of all lines, the line of each, and its place there."""
+    n = b.column(name).value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+    line = np.repeat(np.arange(len(n)), n)
+    return b.column(name).flatten().to_numpy(zero_copy_only=False).astype(np.int64), line, np.arange(len(line)) - (np.cumsum(n) - n)[line]
+
+
+def _keys(b: pa.RecordBatch) -> tuple[np.ndarray, pa.Array]:
+    """The number of each row's key among the batch's keys, and those."""
+    d = b.column("key").dictionary_encode()
+    return d.indices.to_numpy(zero_copy_only=False).astype(np.int64), d.dictionary
+
+
+def _written(rows: DataFrame, name: str) -> DataFrame:
+    """rows, once written: several sums read them."""
+    path = folder(rows.sparkSession, name)
+    rows.write.mode("append").parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
+def gathered(pixels: DataFrame, key: str = "image_id") -> DataFrame:
+    """key, w, h, y, v: the lines of a pixel table. Neighbours that come one after the other are joined before the shuffle,
+    which is by key alone, so that all of an image's lines lie in one partition."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if not b.num_rows:
+                continue
+            code, _ = _keys(b)
+            x, y = _longs(b, "x", "y")
+            new = np.flatnonzero(np.concatenate(([True], (np.diff(code) != 0) | (np.diff(y) != 0) | (np.diff(x) != 1))))
+            head = b.take(pa.array(new))
+            parts = pa.ListArray.from_arrays(pa.array(np.append(new, b.num_rows), pa.int32()), b.column("v").cast(pa.int64()))
+            yield pa.RecordBatch.from_arrays([head.column(c) for c in ("key", "w", "h", "y", "x")] + [parts], names=["key", "w", "h", "y", "x", "v"])
+
+    kind = dict(pixels.dtypes)[key]
+    rows = pixels.select(F.col(key).alias("key"), *(F.col(c).cast("long").alias(c) for c in ("w", "h", "x", "y", "v")))
+    rows = rows.mapInArrow(run, f"key {kind}, w long, h long, y long, x long, v array<long>").repartition("key")
+    lines = rows.groupBy("key", "w", "h", "y").agg(F.array_sort(F.collect_list(F.struct("x", "v"))).alias("p"))
+    return lines.select(F.col("key").alias(key), "w", "h", "y", F.flatten(F.transform("p", lambda p: p["v"])).alias("v"))
+
+
+def _profiles(code: np.ndarray, h: np.ndarray, w: np.ndarray, x: np.ndarray, y: np.ndarray, sides: np.ndarray, table: list) -> list[tuple[list, list]]:
+    """For each key, the bins (angle times height, plus row) that dark pixels fall into, and how many in each."""
+    first = np.cumsum(sides) - sides
+    px, py, base, total = 2 * x + 1 - w, 2 * y + 1 - h, first[code], int(sides.sum())
+    bins, count = [], []
+    for i, (_, c, s) in enumerate(table):
+        row, col = (c * py - s * px + (h << UNIT)) >> (UNIT + 1), (c * px + s * py + (w << UNIT)) >> (UNIT + 1)
+        n = np.bincount((base + row)[(row >= 0) & (row < h) & (col >= 0) & (col < w)], minlength=total)
+        at = np.flatnonzero(n)
+        bins.append(at + i * total)
+        count.append(n[at])
+    at, n = np.concatenate(bins), np.concatenate(count)
+    own = np.searchsorted(first, at % total, side="right") - 1
+    order = np.argsort(own, kind="stable")
+    at, n, own = at[order], n[order], own[order]
+    cut = np.searchsorted(own, np.arange(len(sides) + 1))
+    return [((at[a:b] // total * sides[k] + at[a:b] % total - first[k]), n[a:b]) for k, (a, b) in enumerate(zip(cut, cut[1:]))]
+
+
+def _skew(parts: DataFrame, key: str, table: list, low: float, step: float) -> DataFrame:
+    """key, angle from partial profiles: key, h, p struct<bins, n>."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            found = []
+            for h, ps in zip(b.column("h").to_pylist(), b.column("ps")):
+                part = ps.values
+                bins, n = (part.field(f).flatten().to_numpy(zero_copy_only=False) for f in ("bins", "n"))
+                rows = np.zeros(len(table) * h, np.int64)
+                np.add.at(rows, bins, n)
+                rows = rows.reshape(len(table), h)
+                # The variance over all rows, times the square of their number: whole numbers, which compare exactly.
+                score = (rows * rows).sum(axis=1) * h - rows.sum(axis=1) ** 2
+                score[rows.sum(axis=1) == 0] = -1
+                found.append(low + int(np.argmax(score)) * step)
+            yield pa.RecordBatch.from_arrays([b.column("key"), pa.array(found, pa.float64())], names=["key", "angle"])
+
+    kind = dict(parts.dtypes)["key"]
+    return parts.groupBy("key", "h").agg(F.collect_list("p").alias("ps")).mapInArrow(run, f"key {kind}, angle double").withColumnRenamed("key", key)
+
+
+_PART = "h long, p struct<bins: array<long>, n: array<long>>"
+
+
+def _part(keys: pa.Array, sides: np.ndarray, found: list) -> pa.RecordBatch:
+    some = [k for k, (bins, _) in enumerate(found) if len(bins)]
+    ends = np.cumsum([0] + [len(found[k][0]) for k in some])
+    both = [pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([found[k][j] for k in some]) if some else [], pa.int64())) for j in (0, 1)]
+    return pa.RecordBatch.from_arrays([keys.take(pa.array(some, pa.int64())), pa.array(sides[some], pa.int64()), pa.StructArray.from_arrays(both, ["bins", "n"])], names=["key", "h", "p"])
+
+
 def skew(dark: DataFrame, key: str = "image_id", low: float = -15.0, high: float = 15.0, step: float = 0.5) -> DataFrame:
     """key, angle: the rotation (degrees, counter-clockwise) that makes the rows of dark pixels most unlike each other. dark:
-    key, w, h, x, y. Of equal angles the least; images without dark pixels have no row."""
+    key, w, h, x, y. Of equal angles the least; images without dark pixels have no row. Each batch of pixels is turned by
+    all angles and leaves only how many fall into each row."""
     table = angles(low, high, step)
-    turn = F.explode(F.lit([[i, c, s] for i, (_, c, s) in enumerate(table)])).alias("t")
-    rows = dark.select(key, "h", "w", (2 * F.col("x") + 1 - F.col("w")).alias("px"), (2 * F.col("y") + 1 - F.col("h")).alias("py"), turn)
-    i, c, s = (F.col("t")[k].cast("long") for k in range(3))
-    half = lambda value, side: F.shiftright(value + side * (1 << UNIT), UNIT + 1)
-    rows = rows.select(key, "h", "w", i.alias("i"), half(c * F.col("py") - s * F.col("px"), F.col("h")).alias("row"), half(c * F.col("px") + s * F.col("py"), F.col("w")).alias("col"))
-    rows = rows.where("row >= 0 and row < h and col >= 0 and col < w").groupBy(key, "h", "i", "row").agg(F.count("*").alias("n"))
-    # The variance over all rows, times the square of their number: whole numbers, which compare exactly.
-    score = F.sum(F.col("n") * F.col("n")) * F.col("h") - F.sum("n") * F.sum("n")
-    best = rows.groupBy(key, "h", "i").agg(score.alias("score")).groupBy(key).agg(F.max_by("i", F.struct("score", -F.col("i"))).alias("i"))
-    return best.select(key, (low + F.col("i") * step).alias("angle"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if b.num_rows:
+                code, keys = _keys(b)
+                w, h, x, y = _longs(b, "w", "h", "x", "y")
+                sides = np.zeros(len(keys), np.int64)
+                sides[code] = h
+                yield _part(keys, sides, _profiles(code, h, w, x, y, sides, table))
+
+    rows = dark.select(F.col(key).alias("key"), *(F.col(c).cast("long").alias(c) for c in ("w", "h", "x", "y")))
+    return _skew(rows.mapInArrow(run, f"key {dict(dark.dtypes)[key]}, {_PART}"), key, table, low, step)
+
+
+def _line_skew(lines: DataFrame, key: str, low: float, high: float, step: float) -> DataFrame:
+    """skew() of lines, whose dark pixels are those up to `cut`."""
+    table = angles(low, high, step)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in _strips(batches):
+            code, keys = _keys(b)
+            w, h, y, cut = _longs(b, "w", "h", "y", "cut")
+            v, line, x = _flat(b)
+            dark = v <= cut[line]
+            line, x = line[dark], x[dark]
+            sides = np.zeros(len(keys), np.int64)
+            sides[code] = h
+            yield _part(keys, sides, _profiles(code[line], h[line], w[line], x, y[line], sides, table))
+
+    rows = lines.select(F.col(key).alias("key"), "w", "h", "y", "cut", "v")
+    return _skew(rows.mapInArrow(run, f"key {dict(lines.dtypes)[key]}, {_PART}"), key, table, low, step)
+
+
+def _line_edges(lines: DataFrame, key: str) -> DataFrame:
+    """The lines with l, the laplacian() of each pixel; lines come from gathered()."""
+    w = Window.partitionBy(key).orderBy("y")
+    # Beyond the border, the line next to it stands for the one that isn't there.
+    near = lines.select(F.col(key).alias("key"), "w", "h", "y", "v", F.lag("v").over(w).alias("up"), F.lead("v").over(w).alias("down"))
+    near = near.withColumns({"up": F.coalesce("up", "down", "v"), "down": F.coalesce("down", "up", "v")})
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in _strips(batches):
+            v, line, x = _flat(b)
+            last = np.repeat(b.column("v").value_lengths().to_numpy(zero_copy_only=False).astype(np.int64), b.column("v").value_lengths().to_numpy(zero_copy_only=False)) - 1
+            at = np.arange(len(v))
+            left = v[np.where(x > 0, at - 1, at + (last > 0))]
+            right = v[np.where(x < last, at + 1, at - (last > 0))]
+            l = left + right + _flat(b, "up")[0] + _flat(b, "down")[0] - 4 * v
+            ends = np.append(0, np.cumsum(b.column("v").value_lengths().to_numpy(zero_copy_only=False)))
+            sums = lambda a: np.add.reduceat(a, ends[:-1])
+            cols = [*(b.column(c) for c in ("key", "w", "h", "y", "v")), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(l)), pa.array(np.diff(ends), pa.int64()), pa.array(sums(l)), pa.array(sums(l * l))]
+            yield pa.RecordBatch.from_arrays(cols, names=["key", "w", "h", "y", "v", "l", "n", "s", "q"])
+
+    return near.mapInArrow(run, f"key {dict(lines.dtypes)[key]}, w long, h long, y long, v array<long>, l array<long>, n long, s long, q long").withColumnRenamed("key", key)
+
+
+def _line_bins(lines: DataFrame, key: str) -> DataFrame:
+    """key, v, n: partial histograms of lines."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in _strips(batches):
+            code, keys = _keys(b)
+            v, line, _ = _flat(b)
+            low = int(v.min())
+            wide = int(v.max()) - low + 1
+            at, n = np.unique(code[line] * wide + v - low, return_counts=True)
+            yield pa.RecordBatch.from_arrays([keys.take(pa.array(at // wide)), pa.array(at % wide + low), pa.array(n.astype(np.int64))], names=["key", "v", "n"])
+
+    return lines.select(F.col(key).alias("key"), "v").mapInArrow(run, f"key {dict(lines.dtypes)[key]}, v long, n long").withColumnRenamed("key", key)
 
 
 def prepared(pixels: DataFrame, key: str = "image_id", mode: str = "det", sharp: float = 500.0, least: float = 0.5, most: float = 30.0, low: float = -15.0, high: float = 15.0, step: float = 0.5) -> DataFrame:
@@ -120,15 +296,20 @@ def prepared(pixels: DataFrame, key: str = "image_id", mode: str = "det", sharp:
     """
     if mode not in ("det", "rec"):
         raise ValueError(f"unknown mode {mode}")
-    up = pixels.join(orientation(pixels, key), key)
-    up = up.withColumns({c: F.when(F.col("turned"), F.col(s) - 1 - F.col(c)).otherwise(F.col(c)) for c, s in (("x", "w"), ("y", "h"))})
-    edges = laplacian(up.drop("turned"), key)
-    sharp_ = sharpness(edges, key)
-    v = F.when(F.col("sharpness") < sharp, F.greatest(F.lit(0), F.least(F.lit(255), F.col("v") - F.col("l")))).otherwise(F.col("v"))
-    clear = edges.join(sharp_, key).withColumn("v", v).drop("l", "sharpness")
-    dark = clear.join(threshold(clear, key), key).where("v <= cut")
-    size = pixels.groupBy(key).agg(F.first("w").alias("w"), F.first("h").alias("h"))
-    out = size.join(orientation(pixels, key), key).join(sharp_, key).join(skew(dark, key, low, high, step), key, "left")
+    lines = _written(gathered(pixels, key), "lines")
+    q = F.greatest(F.lit(1), F.expr("h div 4"))
+    total, n = F.aggregate("v", F.lit(0).cast("long"), lambda a, v: a + v), F.size("v")
+    mean = lambda c: F.sum(F.when(c, total)).cast("double") / F.sum(F.when(c, n))
+    ways = lines.groupBy(key, "w", "h").agg((mean(F.col("y") >= F.col("h") - q) < mean(F.col("y") < q) - 5.0).alias("turned"))
+    up = lines.join(ways.select(key, "turned"), key)
+    up = up.withColumns({"y": F.when(F.col("turned"), F.col("h") - 1 - F.col("y")).otherwise(F.col("y")), "v": F.when(F.col("turned"), F.reverse("v")).otherwise(F.col("v"))})
+    edges = _written(_line_edges(up.drop("turned"), key), "edges")
+    s_, q_, n_ = F.sum("s"), F.sum("q"), F.sum("n")
+    sharp_ = edges.groupBy(key).agg(((q_ * n_ - s_ * s_).cast("double") / (n_ * n_).cast("double")).alias("sharpness"))
+    v = F.when(F.col("sharpness") < sharp, F.zip_with("v", "l", lambda a, b: F.greatest(F.lit(0).cast("long"), F.least(F.lit(255).cast("long"), a - b)))).otherwise(F.col("v"))
+    clear = edges.join(sharp_, key).select(key, "w", "h", "y", v.alias("v"))
+    cut = _threshold(_line_bins(clear, key).groupBy(key, "v").agg(F.sum("n").alias("n")), key)
+    out = ways.join(sharp_, key).join(_line_skew(clear.join(cut, key), key, low, high, step), key, "left")
     angle = F.coalesce("angle", F.lit(0.0))
     shape = detection_resize(F.col("w"), F.col("h")) if mode == "det" else recognition_resize(F.col("w"), F.col("h"))
     pw, ph = ("padded_w", "padded_h") if mode == "det" else ("final_w", "resized_h")

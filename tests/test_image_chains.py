@@ -171,3 +171,16 @@ def test_recognition_plan(spark):
     assert max(turns["single_char"]) <= 1.5 < max(turns["normal"]) <= 3 and max(turns["handwrite"]) <= 2.1
     plan = spark.range(500).select(augment.detection_plan(F.col("id")).alias("p")).collect()
     assert {x.step for r in plan for x in r.p} == {s.name for s in augment.DETECTION_GEOMETRY + augment.DETECTION_LIGHT}
+
+
+def test_pixels_are_summed_before_they_turn(spark):
+    """Rows that leave the turning are profiles of batches, not pixels times angles; lines give what pixels give."""
+    p = pixels.exploded(frame(spark, [(i, image(a, channels=1)) for i, a in enumerate((0.5, -3.0))]), "image_id")
+    dark = p.join(pixels.threshold(p), "image_id").where("v <= cut")
+    plan = pixels.skew(dark)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate explode" not in plan and "MapInArrow" in plan
+    lines = pixels.gathered(p.repartition(5))
+    assert lines.count() == 240 and all(len(r.v) == 160 for r in lines.collect())
+    edges = {(r.image_id, r.y): r.l for r in pixels._line_edges(lines, "image_id").collect()}
+    for r in pixels.laplacian(p).collect():
+        assert edges[(r.image_id, r.y)][r.x] == r.l
