@@ -64,9 +64,15 @@ def dictionary(spark: SparkSession, path: str) -> DataFrame:
 
 def schedules(spark: SparkSession, path: str) -> DataFrame:
     """One JSON file an image, as long rows: image, worker, worker_pos, day, gt_code."""
-    rows = spark.read.schema(SCHEDULE).option("multiLine", True).json(path).withColumn("image", t.stem(F.col("image_path")))
-    days = rows.select("image", "format", "industry", "workers", F.explode("schedule").alias("worker", "days"))
-    return days.select("image", "format", "industry", "worker", (F.array_position("workers", F.col("worker")) - 1).cast("int").alias("worker_pos"), F.explode("days").alias("day", "gt_code"))
+    rows = spark.read.schema(SCHEDULE).option("multiLine", True).json(path).select(F.monotonically_increasing_id().alias("file"), t.stem(F.col("image_path")).alias("image"), "format", "industry", "workers", "schedule")
+    # A worker's place and days meet by a shuffle: looked up in the array, a file would cost the square of its workers.
+    place = F.transform("workers", lambda w, i: F.struct(w.alias("worker"), i.alias("pos"), F.lit(None).cast("map<string, string>").alias("days")))
+    own = F.transform(F.map_entries("schedule"), lambda e: F.struct(e["key"].alias("worker"), F.lit(None).cast("int").alias("pos"), e["value"].alias("days")))
+    none = F.array().cast("array<struct<worker: string, pos: int, days: map<string, string>>>")
+    each = rows.select("file", "image", "format", "industry", F.col("workers").isNull().alias("unknown"), F.explode(F.concat(F.coalesce(place, none), F.coalesce(own, none))).alias("e"))
+    met = each.groupBy("file", "image", "format", "industry", "unknown", "e.worker").agg(F.min("e.pos").alias("pos"), F.first("e.days", True).alias("days"))
+    pos = F.when(~F.col("unknown"), F.coalesce("pos", F.lit(-1))).cast("int")
+    return met.select("image", "format", "industry", "worker", pos.alias("worker_pos"), F.explode("days").alias("day", "gt_code"))
 
 
 def tokens(spark: SparkSession, path: str) -> DataFrame:

@@ -36,3 +36,13 @@ def test_last_half_second_of_a_day(spark, tmp_path):
     con.execute(f"copy (select row_number() over () as event_id, 'a' as event_type, cast(unnest({times}) as timestamp) as ts) to '{tmp_path}/events.parquet'")
     con.execute(f"create view events as select * from '{tmp_path}/events.parquet'")
     assert rows_of(QUERIES["stream_rising_days"](spark, str(tmp_path))) == rows_of_sql(con, ORACLES["stream_rising_days"])
+
+
+def test_schedules_meet_their_workers_by_a_shuffle(spark, tmp_path):
+    from scrivena.sources import labels
+
+    (tmp_path / "a.json").write_text('{"image_path": "x/a.png", "workers": ["w2", "w1", "w2"], "schedule": {"w1": {"1": "D"}, "w2": {"1": "N", "2": "D"}, "w9": {"3": "E"}}}')
+    found = labels.schedules(spark, str(tmp_path))
+    assert sorted((r.image, r.worker, r.worker_pos, r.day, r.gt_code) for r in found.collect()) == [("a", "w1", 1, "1", "D"), ("a", "w2", 0, "1", "N"), ("a", "w2", 0, "2", "D"), ("a", "w9", -1, "3", "E")]
+    # A look through all workers for each worker costs the square of their number.
+    assert "array_position" not in found._jdf.queryExecution().optimizedPlan().toString()
