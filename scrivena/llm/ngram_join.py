@@ -16,7 +16,8 @@ Documents with equal sets are one class. Candidates are compared in three steps,
    then done with its group.
 2. Documents in a group whose other members lie in several components sign again with the longest combinations: all tokens of a
    class, dealt into more classes than a link can spoil, so that only close sets meet; these groups have pivots too.
-3. In the groups that then still have several components, members of different components are compared with each other.
+3. In the groups that then still have several components, members of different components are compared with each other,
+   a pair in the first group that it shares and not in each one.
 
 A pair is verified on the whole sets of tokens (64-bit hashes of the n-grams), unless its bitmaps (parities of hashed
 tokens) already differ in too many bits.
@@ -48,6 +49,8 @@ BUCKETS = 1 << 21
 RARE, CHANCE = 4, 0.25
 #: Bits of a filter that thins out rows before they are shuffled; as it fills up it only lets more rows pass.
 FILTER = 1 << 27
+#: Least signatures that a member carries to the last comparison.
+LISTED = 16
 #: 64-bit words of a set's bitmap.
 WORDS = 8
 BITS = [f"b{i}" for i in range(WORDS)]
@@ -341,8 +344,7 @@ def join(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100) -> DataFram
 
     apart = scratch(_apart(others, components(links)).join(known.select("ck", "n", *BITS), "ck"), "apart")
     discard(others)
-    x, y = (apart.select("sig", F.col("ck").alias(k), F.col("n").alias(f"n{k}"), F.col("c").alias(f"c{k}"), *(F.col(v).alias(f"{v}{k}") for v in BITS)) for k in ("a", "b"))
-    rest = x.join(y, "sig").where("a < b and ca != cb").where(_may_link(num, den)).select("a", "b").dropDuplicates()
+    rest = _meetings(apart, num, den).dropDuplicates()
     rest = scratch(rest.join(first.union(more), ["a", "b"], "left_anti"), "pairs")
     links = links.union(_links(texts, rest, n, num, den))
     discard(apart, texts)
@@ -359,6 +361,19 @@ def _pivoted(members: DataFrame) -> DataFrame:
     return out
 
 
+def _meetings(apart: DataFrame, num: int, den: int) -> DataFrame:
+    """a < b: members of different components that may link, from rows of sig, ck, c, n and the bitmap.
+
+    Members that share one group mostly share dozens. A pair is left to the least signature that both have among their
+    LISTED least ones; only a pair without such a signature comes once a group.
+    """
+    listed = apart.groupBy("ck").agg(F.slice(F.array_sort(F.collect_list("sig")), 1, LISTED).alias("l"))
+    rows = apart.join(scratch(listed, "listed"), "ck")
+    x, y = (rows.select("sig", F.col("ck").alias(k), *(F.col(v).alias(f"{v}{k}") for v in ("n", "c", "l", *BITS))) for k in ("a", "b"))
+    once = "coalesce(array_min(array_intersect(la, lb)), sig) >= sig"
+    return x.join(y, "sig").where("a < b and ca != cb").where(_may_link(num, den)).where(once).select("a", "b")
+
+
 def _may_link(num: int, den: int) -> str:
     """What sizes (na, nb) and bitmaps don't rule out."""
     differ = " + ".join(f"bit_count({v}a ^ {v}b)" for v in BITS)

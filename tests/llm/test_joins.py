@@ -290,3 +290,13 @@ def test_embedding_dedup_deals_in_bounded_batches(monkeypatch):
     same = pa.table({"cls": list(range(200)), "w": [1] * 200, "home": [True] * 200, "member": [True] * 200, "data": [x[0].tobytes()] * 200})
     out = tile(same).to_pydict()
     assert out["n"] == [199] * 200 and set(out["v"]) == {0}
+
+
+def test_members_meet_once_however_many_groups_they_share(spark):
+    from scrivena.llm.ngram_join import BITS, _meetings
+
+    rows = [(sig, ck) for sig in range(40) for ck in range(6)] + [(sig, ck) for sig in (50, 51) for ck in (5, 9)]
+    apart = spark.createDataFrame(rows, "sig long, ck long").selectExpr("sig", "ck", "ck as c", "100 as n", *(f"0L as {b}" for b in BITS))
+    found = sorted(tuple(r) for r in _meetings(apart, 80, 100).collect())
+    # The last two groups are beyond what 5 has listed, so that its pair with 9 comes once for each of them.
+    assert found == [(a, b) for a in range(6) for b in range(a + 1, 6)] + [(5, 9)] * 2
