@@ -184,3 +184,15 @@ def test_pixels_are_summed_before_they_turn(spark):
     edges = {(r.image_id, r.y): r.l for r in pixels._line_edges(lines, "image_id").collect()}
     for r in pixels.laplacian(p).collect():
         assert edges[(r.image_id, r.y)][r.x] == r.l
+
+
+def test_covered_cells_without_a_row_for_each_row_of_cells(spark):
+    from scrivena.operators import raster
+
+    b = spark.range(600).selectExpr("id % 40 as image_id", "480L as w", "360L as h", "id * 37 % 500 - 20 as x1", "id * 53 % 380 - 15 as y1").selectExpr("*", "x1 + image_id * 7 % 90 - 3 as x2", "y1 + image_id * 11 % 80 as y2")
+    found = raster.covered(b)
+    want = raster.runs(b).groupBy("image_id").agg(F.sum(F.col("end") - F.col("start")).cast("long").alias("cells"))
+    key = lambda df: sorted(map(tuple, df.collect()))
+    assert key(found) == key(want) and found.count() > 20
+    # Boxes are shuffled as they are, and no row of cells becomes a row of the table.
+    assert not any(x in found._jdf.queryExecution().optimizedPlan().toString() for x in ("Generate", "Window"))
