@@ -234,8 +234,12 @@ def _wanted(bits):
 def _texts(docs: DataFrame, known: DataFrame, wanted: DataFrame) -> DataFrame:
     """ck, text: one text for each class in wanted. Only rows that a filter lets pass are shuffled."""
     own = scratch(known.join(wanted, "ck", "left_semi").select("ck", "doc_id", "tk"), "wanted")
-    rows = docs.mapInArrow(_wanted(_filter(own, "tk")), "doc_id long, text string, tk long")
-    return scratch(rows.dropDuplicates(["doc_id", "tk"]).join(own, ["doc_id", "tk"]).select("ck", "text"), "texts")
+    bits = _filter(own, "tk")
+    rows = docs.mapInArrow(_wanted(bits), "doc_id long, text string, tk long")
+    out = scratch(rows.dropDuplicates(["doc_id", "tk"]).join(own, ["doc_id", "tk"]).select("ck", "text"), "texts")
+    bits.destroy()
+    discard(own)
+    return out
 
 
 def _sign(n: int, counts, total: int, num: int, den: int, bits=None):
@@ -311,14 +315,18 @@ def join(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100) -> DataFram
     spark = docs.sparkSession
     keys = scratch(docs.mapInArrow(_keys(n), "doc_id long, tk long, ck long, n int, " + ", ".join(f"{b} long" for b in BITS)), "keys")
     sketch = np.zeros(BUCKETS, np.int32)
-    rows = docs.mapInArrow(_count(n), "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()  # BUCKETS rows at most
-    sketch[rows.column("bucket").to_numpy()] = np.minimum(rows.column("n").to_numpy(), 1 << 30)
+    rows = docs.mapInArrow(_count(n), "bucket int, n long").groupBy("bucket").agg(F.least(F.sum("n"), F.lit(1 << 30)).cast("int").alias("n")).toArrow()  # BUCKETS rows at most
+    sketch[rows.column("bucket").to_numpy()] = rows.column("n").to_numpy()
     counts = spark.sparkContext.broadcast(sketch)
+    del rows, sketch
     total = keys.count()
     sigs = docs.mapInArrow(_sign(n, counts, total, num, den), "sig long, ck long")
     groups = scratch(sigs.groupBy("sig").agg(F.min("ck").alias("p"), F.max("ck").alias("q")).where("p != q").select("sig"), "groups")
-    sigs = docs.mapInArrow(_sign(n, counts, total, num, den, _filter(groups, "sig")), "sig long, ck long")
+    bits = _filter(groups, "sig")
+    sigs = docs.mapInArrow(_sign(n, counts, total, num, den, bits), "sig long, ck long")
     members = scratch(sigs.join(groups, "sig").dropDuplicates(["sig", "ck"]), "members")
+    counts.destroy()
+    bits.destroy()
     discard(groups)
     known = keys.join(members.select("ck").dropDuplicates(), "ck", "left_semi")
     known = scratch(known.groupBy("ck").agg(F.min(F.struct("doc_id", "tk")).alias("r"), *(F.min(c).alias(c) for c in ("n", *BITS))).select("ck", "r.*", "n", *BITS), "classes")

@@ -1,12 +1,14 @@
 """Similarity joins, fingerprints and revisits against brute force."""
 
+import gc
 import hashlib
+import os
 import random
 
 import numpy as np
 import pytest
 
-from scrivena.llm import embedding_dedup, imatch, ngram_join, revisit
+from scrivena.llm import _common, embedding_dedup, imatch, ngram_join, revisit
 from scrivena.llm._common import prepare
 from scrivena.llm.components import components
 
@@ -300,3 +302,21 @@ def test_members_meet_once_however_many_groups_they_share(spark):
     found = sorted(tuple(r) for r in _meetings(apart, 80, 100).collect())
     # The last two groups are beyond what 5 has listed, so that its pair with 9 comes once for each of them.
     assert found == [(a, b) for a in range(6) for b in range(a + 1, 6)] + [(5, 9)] * 2
+
+
+def test_ngram_join_leaves_no_broadcasts(spark, monkeypatch):
+    made, broadcast = [], type(spark.sparkContext).broadcast
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", lambda self, value: made.append(broadcast(self, value)) or made[-1])
+    words = [f"w{i}" for i in range(60)]
+    rows = [(i, " ".join(words[:i] + ["x"] + words[i + 1 :])) for i in range(30)]
+    found = ngram_join.join(spark.createDataFrame(rows, "doc_id long, text string"), 1, 90, 100)
+    assert len(made) >= 3 and not [b for b in made if os.path.exists(b._path)]
+    assert {r["component_id"] for r in found.collect()} == {0}
+
+
+def test_garbage_is_collected_between_tables(spark, monkeypatch):
+    calls, collect = [], gc.collect
+    monkeypatch.setattr(_common.gc, "collect", lambda *a: calls.append(1) or collect(*a))
+    tables = [_common.scratch(spark.range(3), "tidy") for _ in range(2 * _common.TIDY)]
+    assert len(calls) == 2 and [t.count() for t in tables] == [3] * len(tables)
+    _common.discard(*tables)
