@@ -196,3 +196,16 @@ def test_covered_cells_without_a_row_for_each_row_of_cells(spark):
     assert key(found) == key(want) and found.count() > 20
     # Boxes are shuffled as they are, and no row of cells becomes a row of the table.
     assert not any(x in found._jdf.queryExecution().optimizedPlan().toString() for x in ("Generate", "Window"))
+
+
+def test_boxes_keep_their_other_fields(spark):
+    """Boxes needn't go one a row for their numbers to outlive a crop, so that draws are made once an image."""
+    boxes = [(i, 17 * i, 11 * i, 17 * i + 40, 11 * i + 30) for i in range(20)] + [(20, None, 5, 40, 60), (21, 7, 5, None, None)]
+    kind = "array<struct<idx: int, x1: long, y1: long, x2: long, y2: long>>"
+    df = spark.createDataFrame([(k, 480, 360, boxes) for k in range(60)] + [(60, 480, 360, []), (61, 480, 360, None)], f"image_id long, w long, h long, boxes {kind}")
+    got = {r.image_id: r.boxes for r in augment.detection_boxes(df).collect()}
+    assert got[60] == [] and got[61] is None
+    one = df.selectExpr("image_id", "w", "h", "explode(boxes) as b").selectExpr("image_id", "w", "h", "b.idx as idx", "array(struct(b.x1, b.y1, b.x2, b.y2)) as boxes")
+    alone = {(r.image_id, r.idx): list(r.boxes[0]) for r in augment.detection_boxes(one).where("size(boxes) > 0").collect()}
+    assert {(k, b.idx): [b.x1, b.y1, b.x2, b.y2] for k, v in got.items() for b in v or ()} == alone
+    assert len({k for k, _ in alone}) == 60 and len(alone) < 60 * len(boxes)
