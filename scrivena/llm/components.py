@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scrivena.llm._common import scratch
+from scrivena.llm._common import discard, scratch
 
 CHUNK = 200_000
 
@@ -50,32 +50,27 @@ def _contract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield out(held)
 
 
-def _state(edges: DataFrame) -> tuple:
-    r = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-    return r[0], r[1]
-
-
 def components(links: DataFrame, most_steps: int = 60) -> DataFrame:
     """links: u, v (longs). Returns node, component (the least node reachable) for every node that isn't the least of
-    its component. Nulls, loops and repeated links do no harm."""
+    its component. Nulls, loops and repeated links do no harm. The result can stand for its links in another call."""
     edges = links.select("u", "v").where("u != v").mapInArrow(_contract, "u long, v long")
     edges = scratch(edges.dropDuplicates(), "edges")
-    state = _state(edges)
     for _ in range(most_steps):
-        if not state[0]:
-            break
         # Large star: each edge's smaller end hands the larger one to its least neighbour.
-        least = scratch(edges.groupBy("u").agg(F.min("v").alias("m")), "least")
-        edges = edges.join(least.withColumnRenamed("u", "v"), "v", "left").select("u", F.coalesce("m", "v").alias("v")).dropDuplicates()
-        edges = scratch(edges, "edges")
+        least = scratch(edges.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")), "least")
+        handed = edges.join(least.select(F.col("u").alias("v"), "m"), "v", "left").select("u", F.coalesce("m", "v").alias("v"), F.col("m").isNotNull().alias("moved"))
+        handed = scratch(handed.groupBy("u", "v").agg(F.max("moved").alias("moved")), "edges")
+        # Stars stay as they are: no edge moved, and no node has two smaller neighbours.
+        if handed.where("moved").isEmpty() and least.where("n > 1").isEmpty():
+            discard(least, handed)
+            break
+        discard(edges, least)
+        edges = handed.select("u", "v")
         # Small star: the smaller neighbours of a node, and the node, go to the least of them.
         least = scratch(edges.groupBy("u").agg(F.min("v").alias("m")), "least")
         edges = edges.join(least, "u").select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e")).select("e.*")
         edges = scratch(edges.where("u != v").dropDuplicates(), "edges")
-        now = _state(edges)
-        if now == state:
-            break
-        state = now
+        discard(handed, least)
     else:
         raise RuntimeError("components did not settle")
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component"))

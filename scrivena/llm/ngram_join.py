@@ -196,18 +196,18 @@ def _keys(n: int):
 
 
 def _filter(df: DataFrame, column: str):
-    """A filter of FILTER bits that holds the hashes in a column, broadcast: 16 MB, whatever the size of df."""
+    """A filter that holds the hashes in a column, broadcast: 256 bits or more for each of them, up to FILTER bits (16 MB)."""
     at = f"(shiftrightunsigned({column}, 20) & {FILTER - 1}L)"
     words = df.selectExpr(f"cast(shiftright({at}, 6) as int) as word", f"shiftleft(1L, cast({at} & 63L as int)) as mask")
     rows = words.groupBy("word").agg(F.bit_or("mask").alias("mask")).toArrow()  # FILTER / 64 rows at most
-    bits = np.zeros(FILTER >> 6, np.int64)
-    bits[rows.column("word").to_numpy()] = rows.column("mask").to_numpy()
+    bits = np.zeros(min(FILTER >> 6, 1 << max(10, len(rows).bit_length() + 2)), np.int64)
+    np.bitwise_or.at(bits, rows.column("word").to_numpy() & (len(bits) - 1), rows.column("mask").to_numpy())
     return df.sparkSession.sparkContext.broadcast(bits.view(np.uint64))
 
 
 def _passes(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     """Which hashes a filter may hold."""
-    at = (hashes >> np.uint64(20)) & np.uint64(FILTER - 1)
+    at = (hashes >> np.uint64(20)) & np.uint64(64 * len(bits) - 1)
     return (bits[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63)) & np.uint64(1)).astype(bool)
 
 
@@ -338,7 +338,8 @@ def join(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100) -> DataFram
     links = _links(texts, first, n, num, den)
     discard(texts)
 
-    apart = _apart(others, components(links))
+    part = components(links)
+    apart = _apart(others, part)
     still = scratch(apart.select("ck").dropDuplicates(), "open")
     discard(others)
     texts = _texts(docs, known, still)  # of all that later pairs can hold
@@ -348,24 +349,28 @@ def join(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100) -> DataFram
     others = _pivoted(members)
     discard(members)
     more = scratch(_close(others, known, num, den).join(first, ["a", "b"], "left_anti"), "pairs")
-    links = links.union(_links(texts, more, n, num, den))
+    part = _merged(part, _links(_compared(texts, more), more, n, num, den))
 
-    apart = scratch(_apart(others, components(links)).join(known.select("ck", "n", *BITS), "ck"), "apart")
+    apart = scratch(_apart(others, part).join(known.select("ck", "n", *BITS), "ck"), "apart")
     discard(others)
     rest = _meetings(apart, num, den).dropDuplicates()
     rest = scratch(rest.join(first.union(more), ["a", "b"], "left_anti"), "pairs")
-    links = links.union(_links(texts, rest, n, num, den))
+    part = _merged(part, _links(_compared(texts, rest), rest, n, num, den))
     discard(apart, texts)
-    return _result(keys, components(links))
+    return _result(keys, part)
+
+
+def _merged(part: DataFrame, links: DataFrame) -> DataFrame:
+    """Components of the links behind part and of some more: each member's link to its component stands for the former."""
+    return components(part.toDF("u", "v").union(links))
 
 
 def _pivoted(members: DataFrame) -> DataFrame:
     """sig, ck, pivot: the members of each group without its pivot, the member that is in most groups."""
     rank = scratch(members.groupBy("ck").agg(F.count("*").alias("groups")), "ranks")
-    ranked = scratch(members.join(rank, "ck"), "ranked")
-    pivot = scratch(ranked.groupBy("sig").agg(F.max(F.struct("groups", "ck")).alias("p")).select("sig", F.col("p.ck").alias("pivot")), "pivots")
-    out = scratch(ranked.join(pivot, "sig").where("ck != pivot").select("sig", "ck", "pivot"), "others")
-    discard(rank, ranked, pivot)
+    pivot = scratch(members.join(rank, "ck").groupBy("sig").agg(F.max(F.struct("groups", "ck")).alias("p")).select("sig", F.col("p.ck").alias("pivot")), "pivots")
+    out = scratch(members.join(pivot, "sig").where("ck != pivot").select("sig", "ck", "pivot"), "others")
+    discard(rank, pivot)
     return out
 
 
@@ -396,14 +401,15 @@ def _close(others: DataFrame, known: DataFrame, num: int, den: int) -> DataFrame
     return scratch(pairs.where(_may_link(num, den)).select("a", "b"), "pairs")
 
 
+def _compared(texts: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Of texts, those that the pairs name."""
+    return scratch(texts.join(pairs.select(F.col("a").alias("ck")).union(pairs.select("b")).dropDuplicates(), "ck"), "compared")
+
+
 def _links(texts: DataFrame, pairs: DataFrame, n: int, num: int, den: int) -> DataFrame:
     """u, v: the pairs that link, by their whole texts."""
-    wanted = pairs.select(F.col("a").alias("ck")).union(pairs.select("b")).dropDuplicates()
-    own = scratch(texts.join(wanted, "ck"), "compared")
-    both = pairs.join(own.select(F.col("ck").alias("b"), F.col("text").alias("t")), "b").join(own.select(F.col("ck").alias("a"), F.col("text").alias("s")), "a")
-    out = scratch(both.select("a", "b", "s", "t").mapInArrow(_verify(n, num, den), "u long, v long"), "links")
-    discard(own)
-    return out
+    both = pairs.join(texts.select(F.col("ck").alias("b"), F.col("text").alias("t")), "b").join(texts.select(F.col("ck").alias("a"), F.col("text").alias("s")), "a")
+    return scratch(both.select("a", "b", "s", "t").mapInArrow(_verify(n, num, den), "u long, v long"), "links")
 
 
 def _apart(others: DataFrame, part: DataFrame) -> DataFrame:
@@ -415,7 +421,7 @@ def _apart(others: DataFrame, part: DataFrame) -> DataFrame:
 
 
 def _result(keys: DataFrame, part: DataFrame) -> DataFrame:
-    own = scratch(keys.where("n > 0").groupBy("ck").agg(F.min("doc_id").alias("low")), "classes")
+    own = keys.where("n > 0").groupBy("ck").agg(F.min("doc_id").alias("low"))
     own = own.join(part, own.ck == part.node, "left").select("ck", "low", F.coalesce("component", "ck").alias("c"))
     own = scratch(own, "classes")
     low = scratch(own.groupBy("c").agg(F.min("low").alias("component_id")), "least")

@@ -9,6 +9,7 @@ import numpy as np
 import pytest
 
 from scrivena.llm import _common, embedding_dedup, imatch, ngram_join, revisit
+from scrivena.llm import components as components_module
 from scrivena.llm._common import prepare
 from scrivena.llm.components import components
 
@@ -320,3 +321,40 @@ def test_garbage_is_collected_between_tables(spark, monkeypatch):
     tables = [_common.scratch(spark.range(3), "tidy") for _ in range(2 * _common.TIDY)]
     assert len(calls) == 2 and [t.count() for t in tables] == [3] * len(tables)
     _common.discard(*tables)
+
+
+def written(monkeypatch, *modules):
+    """The names of the tables that the modules write from now on."""
+    names: list = []
+    for m in modules:
+        monkeypatch.setattr(m, "scratch", lambda df, name: names.append(name) or _common.scratch(df, name))
+    return names
+
+
+def test_components_of_stars_take_one_look(spark, monkeypatch):
+    prepare(spark)
+    names = written(monkeypatch, components_module)
+    links = [(i, i % 7) for i in range(7, 400)]
+    part = components(spark.createDataFrame(links, "u long, v long"))
+    assert names == ["edges", "least", "edges"]
+    # Components go on from those found before, whose members' links to them stand for all others.
+    more = components(part.toDF("u", "v").union(spark.createDataFrame([(9, 3), (1000, 999)], "u long, v long")))
+    want = {i: 2 if i % 7 == 3 else i % 7 for i in range(7, 400)} | {3: 2, 1000: 999}
+    assert {r.node: r.component for r in more.collect()} == want
+
+
+def test_ngram_join_writes_few_tables(spark, monkeypatch):
+    """The driver keeps the plan and the status of each query it has run, so that tables are what its memory grows with."""
+    names = written(monkeypatch, ngram_join, components_module)
+    rng = random.Random(12)
+    words = [f"w{i}" for i in range(200)]
+    texts = [[rng.choice(words) for _ in range(60)] for _ in range(20)]
+    rows = [(i, " ".join(texts[i % 20][:59] + [f"e{i // 20}"])) for i in range(80)]
+    found = ngram_join.join(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), 3, 90, 100)
+    assert {r.doc_id: r.component_id for r in found.collect()} == {i: i % 20 for i in range(80)}
+    assert len(names) <= 47, (len(names), names)
+
+
+def test_filter_is_as_large_as_its_rows(spark):
+    bits = ngram_join._filter(spark.range(500).selectExpr("xxhash64(id) as sig"), "sig").value
+    assert bits.nbytes <= 1 << 14
