@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from scrivena.functions import geometry as g
 from scrivena.functions import text as t
+from scrivena.sources import json_pieces
+from scrivena.sources.shared import prepare
 
 POLYGONS = "array<struct<transcription: string, points: array<array<double>>, difficult: boolean>>"
 TOKENS = "array<struct<text: string, bbox: array<double>, score: double>>"
@@ -63,14 +65,18 @@ def dictionary(spark: SparkSession, path: str) -> DataFrame:
 
 
 def schedules(spark: SparkSession, path: str) -> DataFrame:
-    """One JSON file an image, as long rows: image, worker, worker_pos, day, gt_code."""
-    rows = spark.read.schema(SCHEDULE).option("multiLine", True).json(path).select(F.monotonically_increasing_id().alias("file"), t.stem(F.col("image_path")).alias("image"), "format", "industry", "workers", "schedule")
-    # A worker's place and days meet by a shuffle: looked up in the array, a file would cost the square of its workers.
-    place = F.transform("workers", lambda w, i: F.struct(w.alias("worker"), i.alias("pos"), F.lit(None).cast("map<string, string>").alias("days")))
-    own = F.transform(F.map_entries("schedule"), lambda e: F.struct(e["key"].alias("worker"), F.lit(None).cast("int").alias("pos"), e["value"].alias("days")))
-    none = F.array().cast("array<struct<worker: string, pos: int, days: map<string, string>>>")
-    each = rows.select("file", "image", "format", "industry", F.col("workers").isNull().alias("unknown"), F.explode(F.concat(F.coalesce(place, none), F.coalesce(own, none))).alias("e"))
-    met = each.groupBy("file", "image", "format", "industry", "unknown", "e.worker").agg(F.min("e.pos").alias("pos"), F.first("e.days", True).alias("days"))
+    """One JSON file an image, as long rows: image, worker, worker_pos, day, gt_code. A file is read in pieces, however many
+    workers it has, from any store that Arrow opens."""
+    files = prepare(spark).read.format("binaryFile").load(path).select(F.monotonically_increasing_id().alias("file"), "path")
+    pieces = json_pieces.cut(files, ("image_path", "format", "industry"), {"workers": "[", "schedule": "{"})
+    rows = pieces.select("file", "place", F.posexplode(F.from_json("text", f"array<struct<{SCHEDULE}>>")).alias("record", "r")).select("file", "record", "place", t.stem(F.col("r.image_path")).alias("image"), "r.format", "r.industry", "r.workers", "r.schedule")
+    # A worker's place and days meet by a shuffle: looked up in the array, a file would cost the square of its workers. The
+    # first days count if a worker has several.
+    place = F.transform("workers", lambda w, i: F.struct(w.alias("worker"), (F.col("place") + i).alias("pos"), F.lit(None).cast("long").alias("at"), F.lit(None).cast("map<string, string>").alias("days")))
+    own = F.transform(F.map_entries("schedule"), lambda e, i: F.struct(e["key"].alias("worker"), F.lit(None).cast("long").alias("pos"), F.when(e["value"].isNotNull(), F.col("place") + i).alias("at"), e["value"].alias("days")))
+    none = F.array().cast("array<struct<worker: string, pos: long, at: long, days: map<string, string>>>")
+    each = rows.select("file", "record", "image", "format", "industry", F.col("workers").isNull().alias("unknown"), F.explode(F.concat(F.coalesce(place, none), F.coalesce(own, none))).alias("e"))
+    met = each.groupBy("file", "record", "image", "format", "industry", "unknown", "e.worker").agg(F.min("e.pos").alias("pos"), F.min_by("e.days", "e.at").alias("days"))
     pos = F.when(~F.col("unknown"), F.coalesce("pos", F.lit(-1))).cast("int")
     return met.select("image", "format", "industry", "worker", pos.alias("worker_pos"), F.explode("days").alias("day", "gt_code"))
 

@@ -59,6 +59,41 @@ def write_files(rows: DataFrame, folder: str) -> int:
     return rows.select("name", "content").mapInArrow(write, "n long").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
 
 
+def write_parts(rows: DataFrame, folder: str, end: str, sep: str = ",") -> int:
+    """A file for each name of rows (name, opening, piece), below a folder of any store that Arrow opens; how many there are.
+    A name's rows lie in one partition and in order. Its file has its pieces with `sep` between them, each run of equal
+    openings after that opening, and `end`; it is written as its rows come, never held whole. A task that runs again writes
+    the same files again."""
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow import compute, fs
+
+        store, root = fs.FileSystem.from_uri(folder) if ":/" in folder else (fs.LocalFileSystem(), folder)
+        n, f, last = 0, None, (None, None)
+        for b in batches:
+            names, openings, pieces = (b.column(c) for c in ("name", "opening", "piece"))
+            ends = sorted({e for c in (names, openings) for e in compute.run_end_encode(c).run_ends.to_pylist()})
+            runs = pa.ListArray.from_arrays(pa.array([0, *ends], pa.int32()), pieces)
+            for i, text in zip([0, *ends], compute.binary_join(runs, pa.scalar(sep, pieces.type)).to_pylist()):
+                name, opening = names[i].as_py(), openings[i].as_py()
+                if name != last[0]:
+                    if f:
+                        f.write(end.encode())
+                        f.close()
+                    path = posixpath.join(root, name)
+                    store.create_dir(posixpath.dirname(path), recursive=True)
+                    n, f = n + 1, store.open_output_stream(path, buffer_size=1 << 20)
+                f.write((sep if (name, opening) == last else opening).encode())
+                f.write(text.encode())
+                last = name, opening
+        if f:
+            f.write(end.encode())
+            f.close()
+        yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64())], names=["n"])
+
+    return rows.select("name", "opening", "piece").mapInArrow(write, "n long").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+
+
 def quality_rows(checks: DataFrame) -> DataFrame:
     """filename, passed, reasons, contains_personal_info -> the columns of the quality log."""
     return checks.select("filename", flag(F.col("passed")).alias("passed"), F.array_join("reasons", "|").alias("reject_reasons"), flag(F.col("contains_personal_info")).alias("contains_personal_info"))

@@ -61,3 +61,72 @@ def test_schedules_of_tokens_that_come_in_many_batches(spark, sf_dir):
     # Tokens are dealt by image before and after they are laid out, and nothing is dealt or joined after that.
     plan = found._jdf.queryExecution().sparkPlan().toString()
     assert "Join" not in plan and found._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1].count("Exchange ") <= 3
+
+
+@pytest.fixture(scope="module")
+def one_month(tmp_path_factory):
+    """5,000 orders of 2,500 customers in two months."""
+    d = tmp_path_factory.mktemp("month")
+    con = duckdb.connect()
+    con.execute(f"copy (select i as o_orderkey, i % 2500 as o_custkey, timestamp '2024-01-01' + to_days((i // 80)::int) as o_orderdate, (i % 5 + 1) || '-X' as o_orderpriority from range(5000) t(i)) to '{d}/orders.parquet'")
+    con.execute(f"create view orders as select * from '{d}/orders.parquet'")
+    from scrivena.plans.fixtures import SQL
+
+    con.execute(f"create view schedule_gt as {SQL['schedule_gt']}")
+    return con, str(d)
+
+
+def test_no_row_or_record_holds_a_whole_schedule(spark, one_month, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from scrivena.sources import sinks
+
+    con, d = one_month
+    longest = []
+
+    def watched(write, column):
+        def run(rows, *args):
+            longest.append(rows.agg(F.max(F.length(column))).first()[0])
+            return write(rows, *args)
+
+        return run
+
+    monkeypatch.setattr(sinks, "write_files", watched(sinks.write_files, "content"))
+    monkeypatch.setattr(sinks, "write_parts", watched(sinks.write_parts, "piece"), raising=False)
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")  # files and their parts go on from batch to batch
+    try:
+        found = QUERIES["src_schedules"](spark, d)
+        assert rows_of(found) == rows_of_sql(con, ORACLES["src_schedules"])
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert longest and max(longest) < 200
+    assert "multiLine" not in found._jdf.queryExecution().toString() and "Scan json" not in found._jdf.queryExecution().toString()
+
+
+def test_large_and_odd_schedule_files_in_pieces(spark, tmp_path):
+    import json
+
+    from scrivena.sources import json_pieces, labels
+
+    n = 60_000
+    schedule = {f"w{n - i}": {"1": 'D"}{\\', "2": None} for i in range(n)}
+    (tmp_path / "large.json").write_text(json.dumps({"schedule": schedule, "workers": [f"w{i}" for i in range(n)], "image_path": "x/a.png"}, indent=1))
+    found = list(json_pieces.records(str(tmp_path / "large.json"), ("image_path", "format", "industry"), {"workers": "[", "schedule": "{"}))
+    assert max(len(t) for _, t in found) < 200_000 and len(found) > 2 * n // json_pieces.ITEMS
+    rows = labels.schedules(spark, str(tmp_path / "large.json"))
+    assert rows.count() == 2 * n and rows.where("gt_code is null").count() == n and rows.select("image").distinct().count() == 1
+    assert {(r.worker, r.worker_pos) for r in rows.select("worker", "worker_pos").collect()} == {(f"w{i}", i if i < n else -1) for i in range(1, n + 1)}
+    odd = {
+        '{"image_path":"x/a.png","workers":["w1",2,null],"schedule":{"w1":{"1":1.50,"2":[1, 2]},"2":{}}}': [("w1", 0, "1", "1.50"), ("w1", 0, "2", "[1, 2]")],
+        '[{"image_path":"x/a.png","schedule":{"w1":{"1":"D"}}},{"image_path":"x/a.png","workers":[],"schedule":{"w1":{"1":"E"}}}]': [("w1", None, "1", "D"), ("w1", -1, "1", "E")],
+        '{"image_path":"x/a.png","workers":["w1"],"workers":["w2","w1"],"schedule":{"w1":{"1":"D"}}}': [("w1", 1, "1", "D")],
+        "{'image_path':'x/a.png','workers':['w1'],'schedule':{'w1':{'1':'D'}}}": [("w1", 0, "1", "D")],
+        '{"image_path":"x/a.png","workers":["w1"],"schedule":{"w1":{"1":"D"},"w2":{"1" "D"}}}': [],
+        '{"image_path":"x/a.png","workers":["w1"],"schedule":{"w1":{"1":"D"}}': [],
+        "": [],
+    }
+    for i, (text, want) in enumerate(odd.items()):
+        (tmp_path / f"o {i}%20.json").write_text(text)
+        got = labels.schedules(spark, str(tmp_path / f"o {i}%20.json")).collect()
+        assert sorted(((r.worker, r.worker_pos, r.day, r.gt_code) for r in got), key=str) == sorted(want, key=str)
